@@ -9,8 +9,8 @@
 * hence the last writer wins per column, and only the first create of an id
   that the table lacks can succeed.
 
-That turns the replay into one aggregation per id with map-side combine; no
-list of changes is ever gathered.
+That turns the replay into aggregations with map-side combine over (id, column);
+no list of changes is ever gathered.
 """
 
 from __future__ import annotations
@@ -31,13 +31,12 @@ BAD_VALUE = "field value has the wrong type"
 BAD_OPERATION = "unknown operation"
 
 
-def _value(name: str) -> Column:
-    text = F.try_element_at(F.col("fields"), F.lit(name))
-    return text.try_cast(EDITABLE[name])
+def _given(fields: Column, name: str) -> Column:
+    return F.try_element_at(fields, F.lit(name))
 
 
-def _supplied(name: str) -> Column:
-    return F.coalesce(F.map_contains_key("fields", F.lit(name)), F.lit(False))
+def _is_given(fields: Column, name: str) -> Column:
+    return F.coalesce(F.map_contains_key(fields, F.lit(name)), F.lit(False))
 
 
 def _display_name(first: Column, last: Column) -> Column:
@@ -46,20 +45,35 @@ def _display_name(first: Column, last: Column) -> Column:
     return F.coalesce(F.nullif(parts, F.lit("")), F.col(ID))
 
 
-def _form_error() -> tuple[Column, Column]:
-    """(why a change is refused whatever the table holds, whether it names a known field)."""
-    any_field, bad_value = F.lit(False), F.lit(False)
+def _checked(changes: DataFrame) -> DataFrame:
+    """The changes with known fields only, and why a change is malformed, NULL if it is not."""
+    known = F.map_filter("fields", lambda name, _: name.isin(*EDITABLE))
+    bad_value = F.lit(False)
     for name, kind in EDITABLE.items():
-        any_field = any_field | _supplied(name)
         if kind.typeName() != "string":
-            given = F.try_element_at(F.col("fields"), F.lit(name))
-            bad_value = bad_value | (given.isNotNull() & _value(name).isNull())
+            given = _given(F.col("fields"), name)
+            bad_value = bad_value | (given.isNotNull() & given.try_cast(kind).isNull())
     writes = F.col("op").isin("create", "update")
-    return (
+    error = (
         F.when(~F.coalesce(writes | (F.col("op") == "delete"), F.lit(False)), BAD_OPERATION)
         .when(writes & bad_value, BAD_VALUE)
         .when(F.col(ID).isNull(), NOT_FOUND)
-    ), any_field
+    )
+    return changes.withColumn("fields", known).withColumn("error", error)
+
+
+def _latest_edits(sound: DataFrame, rules: Rules) -> DataFrame:
+    """Per id the last update or delete of each column, as a map of at most one entry per column."""
+    soft_delete = F.array(*[
+        F.struct(F.lit(name).alias("key"), F.lit(value).alias("value"))
+        for name, value in {"active_status": "false", "term_date": rules.as_of.isoformat()}.items()
+    ])
+    entries = F.when(F.col("op") == "update", F.map_entries("fields")).when(F.col("op") == "delete", soft_delete)
+    edits = sound.select(ID, "seq", F.explode(entries).alias("entry"))
+    latest = edits.groupBy(ID, F.col("entry.key").alias("key")).agg(
+        F.max(F.struct("seq", F.col("entry.value").alias("value"))).alias("edit")
+    )
+    return latest.groupBy(ID).agg(F.map_from_entries(F.collect_list(F.struct("key", "edit"))).alias("edits"))
 
 
 def apply_changes(
@@ -69,78 +83,49 @@ def apply_changes(
     today = F.lit(rules.as_of).cast("date")
     now = F.lit(rules.stamp).cast("timestamp")
 
-    form_error, any_field = _form_error()
-    checked = changes.select(
-        "*",
-        form_error.alias("_error"),
-        any_field.alias("_any_field"),
-    )
-    sound = checked.where(F.col("_error").isNull())
-    creates = F.col("op") == "create"
-    deletes = F.col("op") == "delete"
-    updates = (F.col("op") == "update") & F.col("_any_field")
-
-    def latest_edit(name: str) -> Column:
-        """Sequence number and value of the last update or delete that sets a column."""
-        if name == "active_status":
-            sets, value = (updates & _supplied(name)) | deletes, F.when(deletes, False).otherwise(_value(name))
-        elif name == "term_date":
-            sets, value = (updates & _supplied(name)) | deletes, F.when(deletes, today).otherwise(_value(name))
-        else:
-            sets, value = updates & _supplied(name), _value(name)
-        return F.max_by(
-            F.when(sets, F.struct(F.col("seq").alias("seq"), value.alias("value"))),
-            F.when(sets, F.col("seq")),
-        ).alias(f"edit_{name}")
-
-    created = F.struct(
-        F.col("seq").alias("seq"),
-        *[_value(name).alias(name) for name in EDITABLE],
-        _supplied("active_status").alias("gives_active_status"),
+    checked = _checked(changes)
+    sound = checked.where(F.col("error").isNull())
+    first_create = (
+        sound.where(F.col("op") == "create")
+        .groupBy(ID)
+        .agg(F.min_by(F.struct("seq", "fields"), "seq").alias("create"))
     )
-    per_id = sound.groupBy(ID).agg(
-        F.min_by(F.when(creates, created), F.when(creates, F.col("seq"))).alias("create"),
-        F.max(F.when(updates | deletes, F.col("seq"))).alias("last_edit"),
-        F.max(
-            F.when(updates & (_supplied("first_name") | _supplied("last_name")), F.col("seq"))
-        ).alias("last_rename"),
-        *[latest_edit(name) for name in EDITABLE],
-    )
-
-    held = employees.withColumn("_held", F.lit(True)).alias("held")
-    joined = held.join(per_id.alias("batch"), ID, "full_outer")
-    in_table = F.col("_held").isNotNull()
+    batch = first_create.join(_latest_edits(sound, rules), ID, "full_outer")
+    held = employees.withColumn("is_held", F.lit(True)).alias("held")
+    in_table = F.col("is_held").isNotNull()
     is_created = ~in_table & F.col("create").isNotNull()
     # Edits count from the moment the id exists.
-    since = F.when(in_table, F.lit(None)).otherwise(F.col("create.seq"))
-
-    def counts(seq: Column) -> Column:
-        return seq.isNotNull() & (since.isNull() | (seq > since))
+    since = F.when(~in_table, F.col("create.seq"))
+    joined = held.join(batch, ID, "full_outer").withColumn(
+        "edits", F.map_filter("edits", lambda _, edit: since.isNull() | (edit["seq"] > since))
+    )
 
-    def start_value(name: str) -> Column:
-        fresh = F.col(f"create.{name}")
+    def created_value(name: str) -> Column:
+        value = _given(F.col("create.fields"), name).try_cast(EDITABLE[name])
         if name == "active_status":
-            fresh = F.when(F.col("create.gives_active_status"), fresh).otherwise(True)
-        return F.when(in_table, F.col(f"held.{name}")).otherwise(fresh)
+            return F.when(_is_given(F.col("create.fields"), name), value).otherwise(True)
+        return value
 
     def final_value(name: str) -> Column:
-        edit = F.col(f"edit_{name}")
-        return F.when(counts(edit["seq"]), edit["value"]).otherwise(start_value(name))
+        edit = _given(F.col("edits"), name)
+        return (
+            F.when(edit.isNotNull(), edit["value"].try_cast(EDITABLE[name]))
+            .when(in_table, F.col(f"held.{name}"))
+            .otherwise(created_value(name))
+        )
 
     final: dict[str, Column] = {name: final_value(name) for name in EDITABLE}
-    hire_at_start = F.col("create.hire_date")
-    final["full_name"] = (
-        F.when(counts(F.col("last_rename")), _display_name(final["first_name"], final["last_name"]))
-        .when(in_table, F.col("held.full_name"))
-        .otherwise(_display_name(F.col("create.first_name"), F.col("create.last_name")))
-    )
+    renamed = _is_given(F.col("edits"), "first_name") | _is_given(F.col("edits"), "last_name")
+    final["full_name"] = F.when(
+        renamed | ~in_table, _display_name(final["first_name"], final["last_name"])
+    ).otherwise(F.col("held.full_name"))
     final["tenure_days"] = F.when(in_table, F.col("held.tenure_days")).otherwise(
-        F.coalesce(F.datediff(today, hire_at_start), F.lit(0))
+        F.coalesce(F.datediff(today, created_value("hire_date")), F.lit(0))
     )
     final["is_placeholder"] = F.when(in_table, F.col("held.is_placeholder")).otherwise(False)
     final["created_at"] = F.when(in_table, F.col("held.created_at")).otherwise(now)
-    changed = is_created | counts(F.col("last_edit"))
-    final["updated_at"] = F.when(changed, now).otherwise(F.col("held.updated_at"))
+    edited = F.coalesce(F.cardinality("edits") > 0, F.lit(False))
+    final["updated_at"] = F.when(is_created | edited, now).otherwise(F.col("held.updated_at"))
 
     columns = [*CURATED_EMPLOYEE_FIELDS, "created_at", "updated_at"]
     table = joined.where(in_table | is_created).select(
@@ -151,19 +136,20 @@ def apply_changes(
 
 def _refused(employees: DataFrame, checked: DataFrame) -> DataFrame:
     """Each change that cannot be applied, with the reason."""
-    sound_create = F.col("_error").isNull() & (F.col("op") == "create")
-    first_create = checked.groupBy(ID).agg(F.min(F.when(sound_create, F.col("seq"))).alias("_first_create"))
-    known = employees.select(ID).withColumn("_held", F.lit(True))
+    sound_create = F.col("error").isNull() & (F.col("op") == "create")
+    first_create = checked.groupBy(ID).agg(F.min(F.when(sound_create, F.col("seq"))).alias("first_create"))
+    known = employees.select(ID).withColumn("is_held", F.lit(True))
     # One row per changed id, so the change side of the next join can be split when an id is hot.
     status = first_create.where(F.col(ID).isNotNull()).join(known, ID, "left")
 
-    held = F.coalesce(F.col("_held"), F.lit(False))
-    exists_before = held | F.coalesce(F.col("seq") > F.col("_first_create"), F.lit(False))
+    held = F.coalesce(F.col("is_held"), F.lit(False))
+    exists_before = held | F.coalesce(F.col("seq") > F.col("first_create"), F.lit(False))
+    no_fields = F.coalesce(F.cardinality("fields") <= 0, F.lit(True))
     reason = (
-        F.when(F.col("_error").isNotNull(), F.col("_error"))
+        F.when(F.col("error").isNotNull(), F.col("error"))
         .when((F.col("op") == "create") & exists_before, CONFLICT)
         .when((F.col("op") != "create") & ~exists_before, NOT_FOUND)
-        .when((F.col("op") == "update") & ~F.col("_any_field"), NO_FIELDS)
+        .when((F.col("op") == "update") & no_fields, NO_FIELDS)
     )
     return (
         checked.join(status, ID, "left")

@@ -74,9 +74,11 @@ def clean_employees(raw: DataFrame, rules: Rules) -> DataFrame:
 
 
 def clean_timesheets(raw: DataFrame, rules: Rules) -> DataFrame:
-    """Typed timesheet rows with a usable employee id."""
-    rows = typed(raw, TIMESHEET_FIELDS)
-    return rows.where(~is_junk_id(F.col(ID), rules.junk_ids))
+    """Typed timesheet rows with a usable employee id.
+
+    The ids are judged as they came: a filter on parsed columns would parse them twice.
+    """
+    return typed(raw.where(~is_junk_id(F.col(ID), rules.junk_ids)), TIMESHEET_FIELDS)
 
 
 def junk_summary(raw: DataFrame, rules: Rules) -> DataFrame:

@@ -39,11 +39,13 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return listed.select("entry.*").orderBy("place").select("label", "rows")
 
 
+RESULT_COLUMNS = ("check_name", "severity", "passed", "metric_value", "details")
+
+
 def latest_results(results: DataFrame) -> DataFrame:
     """The check results of the most recent run."""
     last = results.agg(F.max_by("run_id", F.struct("run_at", "run_id")).alias("run_id"))
-    columns = ["check_name", "severity", "passed", "metric_value", "details"]
-    return results.join(last, "run_id", "left_semi").select(*columns)
+    return results.join(last, "run_id", "left_semi").select(*RESULT_COLUMNS).orderBy("check_name")
 
 
 def passed_of_total(results: DataFrame) -> DataFrame:
@@ -90,6 +92,7 @@ def write_report(
 
     ``run_at`` names the files; the duration is the time to compute the figures.
     """
+    results = results.select(*RESULT_COLUMNS)
     began = datetime.now()
     counted, checks = counts.collect(), results.collect()
     seconds = (datetime.now() - began).total_seconds()
