@@ -23,7 +23,7 @@ FALSE_TEXTS = ("0", "false", "n", "no")
 
 _CLOCK = r"\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?"
 ISO_SHAPE = rf"^\s*\d{{4}}-\d{{1,2}}-\d{{1,2}}(?:[ T]{_CLOCK})?\s*$"
-MONTH_FIRST_SHAPE = rf"^\s*(\d{{1,2}})/(\d{{1,2}})/(\d{{4}})( {_CLOCK})?\s*$"
+MONTH_FIRST_SHAPE = rf"^\s*(\d{{1,2}})/(\d{{1,2}})/(\d{{4}})((?: {_CLOCK})?)\s*$"
 
 
 def without_null_tokens(text: Column, tokens: Iterable[str]) -> Column:
@@ -38,18 +38,11 @@ def strip_text(text: Column) -> Column:
 def parse_timestamp(text: Column) -> Column:
     """Timestamp without zone from ISO or month-first text.
 
-    The shape test comes first: a bare cast would also take partial dates such as ``2020``.
+    The shape is tested because a bare cast would also take partial dates such as ``2020``.
+    The text is named once, so that an expression in its place is computed once.
     """
-    iso = F.when(text.rlike(ISO_SHAPE), text).when(
-        text.rlike(MONTH_FIRST_SHAPE),
-        F.concat(
-            F.regexp_extract(text, MONTH_FIRST_SHAPE, 3), F.lit("-"),
-            F.regexp_extract(text, MONTH_FIRST_SHAPE, 1), F.lit("-"),
-            F.regexp_extract(text, MONTH_FIRST_SHAPE, 2),
-            F.regexp_extract(text, MONTH_FIRST_SHAPE, 4),
-        ),
-    )
-    return iso.try_cast("timestamp_ntz")
+    year_first = F.regexp_replace(text, MONTH_FIRST_SHAPE, "$3-$1-$2$4")
+    return F.regexp_extract(year_first, ISO_SHAPE, 0).try_cast("timestamp_ntz")
 
 
 def parse_date(text: Column) -> Column:
@@ -72,4 +65,5 @@ def is_junk_id(employee_id: Column, junk_ids: Iterable[str]) -> Column:
     One pattern for all, so that the column is looked at once in a filter.
     """
     known = "".join(f"{re.escape(junk_id)}|" for junk_id in junk_ids)
-    return employee_id.isNull() | employee_id.rlike(rf"^[{WHITESPACE}]*(?:{known}(\d)\1{{3,}})?[{WHITESPACE}]*$")
+    pattern = rf"^[{WHITESPACE}]*(?:{known}(\d)\1{{3,}})?[{WHITESPACE}]*$"
+    return F.coalesce(employee_id.rlike(pattern), F.lit(True))
