@@ -13,7 +13,7 @@ import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftledger.operators.constraints import (
@@ -88,37 +88,38 @@ class Layers:
         replaces: bool,
         on_violation: str = "fail",
     ) -> dict[str, int]:
-        """Writes and commits; returns the number of rows and of broken rules.
+        """Writes, audits and commits; returns the number of rows and of broken rules.
 
-        Rules are counted while the rows are written. ``fail`` then drops the
-        load by not committing it; ``quarantine`` commits good and bad rows apart.
+        The audit reads back what was written (only the columns the rules name),
+        so it sees what readers will see, whatever tasks were repeated. ``fail``
+        drops a bad load by not committing it; ``quarantine`` commits good and
+        bad rows apart.
         """
         rules = ROW_RULES.get(table, [])
         path = f"{self.root}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
-        observation = Observation()
         ready = self._conform(df, table)
         quarantine = on_violation == "quarantine" and bool(rules)
         if quarantine:
             ready = mark_broken(ready, rules).withColumn("quarantined", F.size(BROKEN) > 0)
-        observed = ready.observe(
-            observation,
-            F.count(F.lit(1)).alias("rows"),
-            *[F.count_if(is_broken(rule)).alias(rule.name) for rule in rules],
-            *([F.count_if("quarantined").alias("quarantined")] if quarantine else []),
-        )
+        layout = ready.schema
         folders = ["quarantined"] if quarantine else []
         if table in MONTHLY:
             date_column = MONTHLY[table]
             # Adaptive execution splits a hot month over several files and joins small ones.
-            observed = (
-                observed.withColumn("month", F.trunc(date_column, "MM"))
+            ready = (
+                ready.withColumn("month", F.trunc(date_column, "MM"))
                 .hint("rebalance", "month")
                 .sortWithinPartitions(*folders, "month", date_column)
             )
             folders = [*folders, "month"]
-        observed.write.mode("errorifexists").partitionBy(*folders).parquet(path)
+        ready.write.mode("errorifexists").partitionBy(*folders).parquet(path)
 
-        counts = dict(observation.get)
+        audit = self.spark.read.schema(layout).parquet(path).agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(is_broken(rule)).alias(rule.name) for rule in rules],
+            *([F.count_if("quarantined").alias("quarantined")] if quarantine else []),
+        )
+        counts = audit.first().asDict()
         broken = {rule.name: counts[rule.name] for rule in rules if counts[rule.name]}
         if not quarantine:
             if broken:
