@@ -64,13 +64,11 @@ def clean_employees(raw: DataFrame, rules: Rules) -> DataFrame:
     """Typed employees, one row per id, the most recently loaded.
 
     ``active_status`` follows from the parsed end date, whatever the file says.
+    Only the rows kept are parsed.
     """
-    rows = (
-        typed(raw, EMPLOYEE_FIELDS)
-        .withColumn("active_status", F.col("term_date").isNull())
-        .where(F.col(ID).isNotNull())
-    )
-    return first_per_key(rows, [ID], newest_first(rows)).select(*EMPLOYEE_FIELDS)
+    rows = raw.withColumn(ID, strip_text(F.col(ID))).where(F.col(ID).isNotNull())
+    kept = typed(first_per_key(rows, [ID], newest_first(rows)), EMPLOYEE_FIELDS)
+    return kept.withColumn("active_status", F.col("term_date").isNull()).select(*EMPLOYEE_FIELDS)
 
 
 def clean_timesheets(raw: DataFrame, rules: Rules) -> DataFrame:

@@ -119,18 +119,24 @@ def rolling_hours(timesheets: DataFrame) -> DataFrame:
     """Average daily hours over the last 7 and 30 worked days, for every worked day.
 
     Daily sums come first, so an employee has at most one row per calendar day
-    in the window. Range partitioning by employee serves the window and the
-    final order alike.
+    in the window. Sums over the last days are differences of running sums (exact
+    on decimals), where a sliding frame would be added up anew for every row.
+    Range partitioning by employee serves the windows and the final order alike.
     """
     by_day = Window.partitionBy(ID).orderBy(DAY)
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
 
     def over_last(days: int) -> Column:
-        frame = by_day.rowsBetween(1 - days, 0)
-        return average_hours(F.sum("daily_hours").over(frame), F.count("daily_hours").over(frame))
+        before = F.coalesce(F.lag("hours_so_far", days).over(by_day), F.lit(0))
+        return average_hours(F.col("hours_so_far") - before, F.least(F.col("days_so_far"), F.lit(days)))
 
     return (
         daily_hours(timesheets)
         .repartitionByRange(ID)
+        .withColumns({
+            "hours_so_far": F.sum("daily_hours").over(so_far),
+            "days_so_far": F.row_number().over(by_day),
+        })
         .select(
             ID,
             DAY,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,19 +149,31 @@ def run_checks(
 ) -> DataFrame:
     """Evaluates all checks and, for failed ones, lists the first findings."""
     run_id = run_id or uuid.uuid4().hex
-    results = []
-    for row in check_metrics(employees, timesheets, rules).collect():
-        details = None
-        if not row["passed"]:
-            found = check_details(row["check_name"], employees, timesheets)
-            texts = [str(entry["detail"]) for entry in found.collect()] if found is not None else []
-            details = "; ".join(texts) or None
-        results.append((
-            run_id, rules.stamp, row["check_name"], row["severity"], row["passed"], row["metric_value"], details,
-        ))
+    metrics = check_metrics(employees, timesheets, rules).collect()
+    details = _details_of([row["check_name"] for row in metrics if not row["passed"]], employees, timesheets)
+    results = [
+        (run_id, rules.stamp, row["check_name"], row["severity"], row["passed"], row["metric_value"],
+         details.get(row["check_name"]))
+        for row in metrics
+    ]
     return employees.sparkSession.createDataFrame(results, CHECK_RESULTS)
 
 
+def _details_of(checks: Sequence[str], employees: DataFrame, timesheets: DataFrame) -> dict[str, str]:
+    """The first findings of several checks, joined per check, from one job."""
+    listed = [
+        found.withColumn("check_name", F.lit(check))
+        for check in checks
+        if (found := check_details(check, employees, timesheets)) is not None
+    ]
+    if not listed:
+        return {}
+    texts: dict[str, list[str]] = {}
+    for row in reduce(DataFrame.unionByName, listed).collect():
+        texts.setdefault(row["check_name"], []).append(str(row["detail"]))
+    return {check: "; ".join(found) for check, found in texts.items()}
+
+
 def failed_critical(results: DataFrame) -> DataFrame:
     return results.where((F.col("severity") == CRITICAL) & ~F.col("passed"))
 

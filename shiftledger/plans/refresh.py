@@ -53,8 +53,17 @@ def load_raw(
     return intake
 
 
-def stage_employees(layers: Layers, rules: Rules, *, on_violation: str = "fail") -> None:
-    raw = layers.read("raw.employee_raw")
+def _raw_rows(layers: Layers, table: str, rules: Rules, only_this_load: bool) -> DataFrame:
+    raw = layers.read(table)
+    if only_this_load:
+        return raw.where(F.col("loaded_at") == F.lit(rules.stamp).cast("timestamp"))
+    return raw
+
+
+def stage_employees(
+    layers: Layers, rules: Rules, *, on_violation: str = "fail", only_this_load: bool = False
+) -> None:
+    raw = _raw_rows(layers, "raw.employee_raw", rules, only_this_load)
     if raw.isEmpty():
         log.warning("no raw employees, nothing to stage")
         return
@@ -63,9 +72,11 @@ def stage_employees(layers: Layers, rules: Rules, *, on_violation: str = "fail")
     layers.replace(merged, table, on_violation=on_violation)
 
 
-def stage_timesheets(layers: Layers, rules: Rules, *, on_violation: str = "fail") -> None:
+def stage_timesheets(
+    layers: Layers, rules: Rules, *, on_violation: str = "fail", only_this_load: bool = False
+) -> None:
     """Reloads the staged timesheets and adds a placeholder for every unknown employee id."""
-    raw = layers.read("raw.timesheet_raw")
+    raw = _raw_rows(layers, "raw.timesheet_raw", rules, only_this_load)
     if raw.isEmpty():
         log.warning("no raw timesheets, nothing to stage")
         return
@@ -125,14 +136,22 @@ def refresh(
     recursive: bool = True,
     on_violation: str = "fail",
     null_safe: bool = False,
+    only_this_load: bool = False,
 ) -> Refresh:
-    """Runs all steps in order. ``root`` is a folder that all executors share."""
+    """Runs all steps in order. ``root`` is a folder that all executors share.
+
+    By default all raw rows are staged again at every run. With
+    ``only_this_load`` only those of this run are: the curated tables come out
+    the same, as employees are updated by the latest load and punches already
+    there stay, and the work follows the load instead of the whole history.
+    """
     layers = Layers(spark, root)
     options = {"mode": mode, "recursive": recursive}
     people = load_raw(layers, "raw.employee_raw", employee_folder, list(EMPLOYEE_FIELDS), rules, **options)
     punches = load_raw(layers, "raw.timesheet_raw", timesheet_folder, list(TIMESHEET_FIELDS), rules, **options)
-    stage_employees(layers, rules, on_violation=on_violation)
-    stage_timesheets(layers, rules, on_violation=on_violation)
+    scope = {"on_violation": on_violation, "only_this_load": only_this_load}
+    stage_employees(layers, rules, **scope)
+    stage_timesheets(layers, rules, **scope)
     load_employees(layers, rules, on_violation=on_violation)
     load_timesheets(layers, rules, on_violation=on_violation, null_safe=null_safe)
     reports = f"{layers.root}/reports"

@@ -171,13 +171,16 @@ def _inspect(spark: SparkSession, paths: Sequence[str], rules: Rules) -> list[_F
         )
         .where(F.trim("value") != "")
     )
-    fields = _occurrences(_outside_quotes(F.col("value"), rules), rules.delimiter) + 1
+    outside = _outside_quotes(F.col("value"), rules)
+    fields = _occurrences(outside, rules.delimiter) + 1
+    # A quoted field that its line does not close; quotes inside a value do not count.
+    left_open = outside.rlike(f"(^|{re.escape(rules.delimiter)}){re.escape(rules.quote)}")
     # collect_set of a few numbers per file makes this a hash aggregation, which
     # the text-valued min_by alone would not be; lines are never sorted.
     per_file = lines.groupBy("uri").agg(
         F.min_by("value", "first_block_line").alias("header"),
         F.array_max(F.collect_set(F.least(fields, F.lit(FIELD_COUNT_CEILING)))).alias("most_fields"),
-        (F.max(_occurrences(F.col("value"), rules.quote) % 2) == 1).alias("multi_line"),
+        F.max(left_open).alias("multi_line"),
         F.max(~F.is_valid_utf8("value")).alias("bad_bytes"),
     )
     found = [

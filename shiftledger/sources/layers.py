@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import time
 import uuid
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shiftledger.operators.constraints import (
     BROKEN,
@@ -46,10 +46,15 @@ class Layers:
             return []
         live: list[str] = []
         for row in log.where(F.col("table") == table).orderBy("seq").collect():
-            live = [row["path"]] if row["replaces"] else [*live, row["path"]]
+            added = [row["path"]] if row["path"] else []
+            live = added if row["replaces"] else live + added
         return live
 
-    def _commit(self, table: str, path: str, *, replaces: bool) -> None:
+    def _folder(self, table: str) -> str:
+        return f"{self.root}/{table.replace('.', '/')}"
+
+    def _commit(self, table: str, path: str | None, *, replaces: bool) -> None:
+        """Records a folder of rows; with ``replaces`` and no folder the table becomes empty."""
         entry = [(table, path, replaces, time.time_ns())]
         self.spark.createDataFrame(entry, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
@@ -62,17 +67,20 @@ class Layers:
         paths = self._live_paths(table)
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        columns = [*schema.fieldNames(), *(["month"] if table in MONTHLY else [])]
+        return self._scan(table, paths, schema).select(*columns)
+
+    def _scan(self, table: str, paths: list[str], schema: T.StructType) -> DataFrame:
+        """Folders of one table; below its folder lie load, quarantined and perhaps month."""
+        return self.spark.read.schema(schema).option("basePath", self._folder(table)).parquet(*paths)
 
     def quarantined(self, table: str) -> DataFrame | None:
         """Rows set aside so far, with the names of the rules they break."""
         paths = self._live_paths(f"quarantine.{table}")
         if not paths:
             return None
-        return reduce(
-            lambda left, right: left.unionByName(right, allowMissingColumns=True),
-            [self.spark.read.parquet(path) for path in paths],
-        )
+        schema = T.StructType([*TABLES[table].fields, T.StructField(BROKEN, T.ArrayType(T.StringType()))])
+        return self._scan(table, paths, schema).select(*schema.fieldNames())
 
     def append(self, df: DataFrame, table: str, **options) -> dict[str, int]:
         return self._write(df, table, replaces=False, **options)
@@ -96,13 +104,15 @@ class Layers:
         bad rows apart.
         """
         rules = ROW_RULES.get(table, [])
-        path = f"{self.root}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
+        load = f"{self._folder(table)}/load=run{uuid.uuid4().hex}"
+        good, bad = f"{load}/quarantined=false", f"{load}/quarantined=true"
         ready = self._conform(df, table)
         quarantine = on_violation == "quarantine" and bool(rules)
+        folders = []
         if quarantine:
             ready = mark_broken(ready, rules).withColumn("quarantined", F.size(BROKEN) > 0)
-        layout = ready.schema
-        folders = ["quarantined"] if quarantine else []
+            folders = ["quarantined"]
+        layout = T.StructType([field for field in ready.schema if field.name != "quarantined"])
         if table in MONTHLY:
             date_column = MONTHLY[table]
             # Adaptive execution splits a hot month over several files and joins small ones.
@@ -112,30 +122,24 @@ class Layers:
                 .sortWithinPartitions(*folders, "month", date_column)
             )
             folders = [*folders, "month"]
-        ready.write.mode("errorifexists").partitionBy(*folders).parquet(path)
+        ready.write.mode("errorifexists").partitionBy(*folders).parquet(load if quarantine else good)
 
-        audit = self.spark.read.schema(layout).parquet(path).agg(
+        audit = self._scan(table, [load], layout).agg(
             F.count(F.lit(1)).alias("rows"),
             *[F.count_if(is_broken(rule)).alias(rule.name) for rule in rules],
-            *([F.count_if("quarantined").alias("quarantined")] if quarantine else []),
+            *([F.count_if(F.size(BROKEN) > 0).alias("quarantined")] if quarantine else []),
         )
         counts = audit.first().asDict()
         broken = {rule.name: counts[rule.name] for rule in rules if counts[rule.name]}
-        if not quarantine:
-            if broken:
-                raise ConstraintViolation(table, broken)
-            if counts["rows"] or replaces:
-                self._commit(table, path, replaces=replaces)
-            return counts
-        bad_rows = counts["quarantined"]
+        if broken and not quarantine:
+            raise ConstraintViolation(table, broken)
+        bad_rows = counts.pop("quarantined", 0)
         if bad_rows:
-            self._commit(f"quarantine.{table}", f"{path}/quarantined=true", replaces=False)
-        if bad_rows < counts["rows"]:
-            self._commit(table, f"{path}/quarantined=false", replaces=replaces)
-        elif replaces:
-            self.spark.createDataFrame([], TABLES[table]).write.parquet(f"{path}/empty")
-            self._commit(table, f"{path}/empty", replaces=True)
-        return {**counts, "rows": counts["rows"] - bad_rows}
+            self._commit(f"quarantine.{table}", bad, replaces=False)
+        good_rows = counts["rows"] - bad_rows
+        if good_rows or replaces:
+            self._commit(table, good if good_rows else None, replaces=replaces)
+        return {**counts, "rows": good_rows}
 
     def _conform(self, df: DataFrame, table: str) -> DataFrame:
         """Exactly the columns and types of the table; absent columns are NULL."""

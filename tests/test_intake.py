@@ -10,6 +10,7 @@ from shiftledger.rules import Rules
 from shiftledger.schemas import EMPLOYEE_FIELDS
 from shiftledger.session import new_folder, shared_folder
 from shiftledger.sources import Layers, list_files, read_delimited
+from shiftledger.sources.delimited import _inspect
 
 RULES = Rules(as_of=date(2024, 5, 1), run_at=datetime(2024, 5, 1, 8))
 COLUMNS = ["client_employee_id", "first_name", "last_name", "department_name"]
@@ -50,7 +51,9 @@ def test_quotes_inside_values_leave_a_file_splittable(spark, tmp_path):
     put(tmp_path, "q.csv", 'client_employee_id|first_name\n1|5\'10" tall\n2|b\n')
     found = intake(spark, tmp_path)
     assert rows(found.rows, "client_employee_id", "first_name") == [("1", "5'10\" tall"), ("2", "b")]
-    assert "multiLine" not in found.rows._jdf.queryExecution().toString()
+    assert [file.multi_line for file in _inspect(spark, [str(tmp_path / "q.csv")], RULES)] == [False]
+    put(tmp_path, "q.csv", 'client_employee_id|first_name\n1|"a\nb"\n')
+    assert [file.multi_line for file in _inspect(spark, [str(tmp_path / "q.csv")], RULES)] == [True]
 
 
 def test_layouts_are_matched_by_name(spark, tmp_path):
@@ -220,6 +223,24 @@ def test_refresh_twice_gives_the_same_tables(spark, sources):
     assert third.layers.read("raw.employee_raw").count() == 5
 
 
+def test_refresh_of_one_load_equals_refresh_of_all(spark, sources):
+    roots = {only: new_folder(spark, "run") for only in (False, True)}
+    for day, (name, hire) in enumerate([("Ann", "2020-01-05"), ("Anna", "2020-01-06")], start=1):
+        put(sources, f"employees/day{day}.csv", f"client_employee_id|first_name|hire_date\nE1|{name}|{hire}\nE{day}0|New|2021-01-01\n")
+        put(sources, f"timesheets/day{day}.csv", PUNCHES.replace("2022-", f"202{day}-").replace("X7", f"X{day}"))
+        rules = Rules(as_of=date(2024, 5, day), run_at=datetime(2024, 5, day))
+        for only, root in roots.items():
+            refresh(spark, root, str(sources / "employees"), str(sources / "timesheets"), rules,
+                    mode="new_files", only_this_load=only)
+    every, latest = (Layers(spark, root) for root in roots.values())
+    for table, columns in {
+        "curated.timesheet": CURATED,
+        "curated.employee": ["client_employee_id", "first_name", "hire_date", "is_placeholder", "created_at"],
+    }.items():
+        assert rows(every.read(table), *columns) == rows(latest.read(table), *columns)
+    assert latest.read("staging.timesheet_staging").count() < every.read("staging.timesheet_staging").count()
+
+
 def test_refresh_stops_or_quarantines(spark, sources):
     bad = PUNCHES + "E1|8|2022-01-05|2022-01-05 17:00|2022-01-05 09:00||\nE2|8|bad-day|2022-01-06 08:00|2022-01-06 09:00||\n"
     put(sources, "timesheets/t.csv", bad)
