@@ -66,20 +66,22 @@ def insert_absent(
 
     Of several incoming rows with one key the first in ``order`` is taken. By
     default a key with a NULL part conflicts with nothing, as in a SQL unique
-    constraint; such rows skip deduplication and join, so they cannot pile up
-    in one partition. With ``null_safe`` NULLs are equal. ``unique`` says that
-    no key occurs twice in ``incoming``.
+    constraint; with ``null_safe`` NULLs are equal.
+
+    ``unique`` says that no key occurs twice in ``incoming``, NULLs taken as
+    equal. It is then read once. Else rows with NULL keys skip deduplication
+    and join on a branch of their own, so they cannot pile up in one partition.
     """
     held = current.select(*keys)
     if null_safe:
         once = incoming if unique else first_per_key(incoming, keys, order)
         return _without(once, held.distinct(), keys, null_safe=True)
     keyed = reduce(Column.__and__, [F.col(name).isNotNull() for name in keys])
-    once = incoming.where(keyed)
-    if not unique:
-        once = first_per_key(once, keys, order)
-    fresh = _without(once, held.where(keyed).distinct(), keys, null_safe=False)
-    return fresh.unionByName(incoming.where(~keyed))
+    held_keys = held.where(keyed).distinct()
+    if unique:
+        return _without(incoming, held_keys, keys, null_safe=False)
+    once = first_per_key(incoming.where(keyed), keys, order)
+    return _without(once, held_keys, keys, null_safe=False).unionByName(incoming.where(~keyed))
 
 
 def _without(rows: DataFrame, held: DataFrame, keys: Sequence[str], *, null_safe: bool) -> DataFrame:

@@ -52,6 +52,23 @@ def test_insert_absent_lets_null_keys_pass(spark):
     keys = ["id", "punch_in", "punch_out"]
     assert rows(insert_absent(current, incoming, keys)) == [("a", 1, None, "again"), ("b", 1, 2, "first")]
     assert rows(insert_absent(current, incoming, keys, null_safe=True)) == [("b", 1, 2, "first")]
+    once = incoming.where(F.col("note") != "second")
+    assert rows(insert_absent(current, once, keys, unique=True)) == [("a", 1, None, "again"), ("b", 1, 2, "first")]
+    assert rows(insert_absent(current, once, keys, unique=True, null_safe=True)) == [("b", 1, 2, "first")]
+
+
+def test_insert_of_deduplicated_rows_shuffles_them_once(spark):
+    keys = ["id", "punch_in", "punch_out"]
+    incoming = spark.createDataFrame([("a", 1, 2, "x"), ("a", None, 2, "y")], PUNCHES)
+    current = spark.createDataFrame([("a", 1, 2, "held")], PUNCHES)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        added = insert_absent(current, first_per_key(incoming, keys, []), keys, unique=True)
+        plan = added._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2
 
 
 def test_enforce(spark):
