@@ -253,9 +253,9 @@ def _summary_sql(extra: str) -> str:
 
 
 _ONE_EMPLOYEE = (
-    "and client_employee_id = '17' and punch_apply_date >= date '1996-05-05' and punch_apply_date <= date '2000-08-20'"
+    "and client_employee_id = '7' and punch_apply_date >= date '1996-05-05' and punch_apply_date <= date '2000-08-20'"
 )
-_ONE_EMPLOYEE_ARGS = {"employee_id": "17", "start": date(1996, 5, 5), "end": date(2000, 8, 20)}
+_ONE_EMPLOYEE_ARGS = {"employee_id": "7", "start": date(1996, 5, 5), "end": date(2000, 8, 20)}
 
 
 @query("k18_hours_summary", _summary_sql(""))
