@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 20
+BLOCK_TEXTS = 4096
 LONG_WORD = 512  # bytes; longer words are hashed with BLAKE2
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -57,7 +58,7 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int
     first, rows = 0, len(offsets) - 1
     while first < rows:
         end = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
-        end = min(rows, max(end, first + 1))
+        end = min(rows, max(end, first + 1), first + BLOCK_TEXTS)
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end
 
@@ -85,6 +86,15 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
 
 
+def lowered_latin(data: np.ndarray) -> np.ndarray:
+    """Like ``lowered``, and the letters of U+00C0 to U+00DE (in UTF-8) in lower case too."""
+    low = lowered(data)
+    after = np.flatnonzero(data[:-1] == 0xC3) + 1
+    after = after[(data[after] >= 0x80) & (data[after] <= 0x9E) & (data[after] != 0x97)]
+    low[after] += np.uint8(32)
+    return low
+
+
 class Hasher:
     """Hashes byte spans by a polynomial modulo 2**64 from one running sum per block."""
 
@@ -100,10 +110,20 @@ class Hasher:
             up[0] = down[0] = 1
             self.up, self.down = np.cumprod(up), np.cumprod(down)
 
-    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def sums(self, data: np.ndarray) -> np.ndarray:
         self._reach(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=sums[1:])
+        return sums
+
+    def heads(self, sums: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the first ``size`` bytes of spans at least as long, apart from those of whole words."""
+        return mix((sums[starts + size] - sums[starts]) * self.down[starts] + np.uint64(size))
+
+    def __call__(
+        self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray | None = None
+    ) -> np.ndarray:
+        sums = self.sums(data) if sums is None else sums
         found = mix((sums[ends] - sums[starts]) * self.down[starts])
         for at in np.flatnonzero(ends - starts > LONG_WORD):
             held = hashlib.blake2b(data[starts[at] : ends[at]].tobytes(), digest_size=8).digest()

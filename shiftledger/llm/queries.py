@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shiftledger.llm.exact_dedup import exact_copies
 from shiftledger.llm.packing import pack
+from shiftledger.llm.quality import quality_scores
+from shiftledger.llm.toxicity import toxic_passages
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +25,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxic_passages(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_copies(table(spark, folder, "documents"))
 
@@ -41,6 +53,8 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Build] = {
+    "op2_toxicity": op2_toxicity,
+    "op3_quality": op3_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_packing": op7_packing,
 }
