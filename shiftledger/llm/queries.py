@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftledger.llm.exact_dedup import exact_copies
+from shiftledger.llm.mixing import with_copies
+from shiftledger.llm.near_join import near_copies
 from shiftledger.llm.packing import pack
 from shiftledger.llm.quality import quality_scores
 from shiftledger.llm.toxicity import toxic_passages
@@ -25,6 +27,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_near_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies(table(spark, folder, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     found = toxic_passages(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
@@ -52,13 +58,76 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), tokenizer_path(), with_ids=False).drop("ids")
 
 
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return with_copies(docs).select(
+        "doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"), (F.col("mix_copies") * F.col("mix_size")).alias("taken"),
+    )
+
+
+OP9_SQL = r"""
+    with sized as (
+        select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+            (('0x' || substr(md5('mix:' || coalesce(cast(doc_id as varchar), 'text ' || md5(coalesce(text, '')))), 1, 13))::bigint
+                + 0.5::double) / 4503599627370496::double as u
+        from documents),
+    rated as (select *, case when size < 50 then 1 else 2 end as intensity from sized),
+    levels as (select source, intensity, sum(size)::bigint as level_size from rated group by all),
+    sources as (select source, sum(level_size)::bigint as source_size from levels group by all),
+    weighted as (
+        select *, [5, 2, 1][(row_number() over (order by encode(source) nulls last) - 1) % 3 + 1] as weight,
+            3 * source_size as cap, sum(source_size) over () as all_size
+        from sources),
+    tried as (
+        select *, all_size::double - coalesce(sum(cap) over (order by cap / weight, encode(source) nulls last
+                rows between unbounded preceding and 1 preceding), 0)::double as rest_size,
+            (sum(weight) over (order by cap / weight, encode(source) nulls last
+                rows between current row and unbounded following))::double as rest
+        from weighted),
+    told as (select *, rest_size * weight > cap * rest as is_full from tried),
+    targets as (
+        select source, source_size, case when is_full then cap::double
+            else (arg_max(rest_size / rest, rest) filter (not is_full) over ()) * weight end as target
+        from told),
+    of_level as (
+        select l.*, t.source_size, t.target, 3 * level_size as cap, level_size * intensity as weight
+        from levels l join targets t on l.source is not distinct from t.source),
+    tried_level as (
+        select *, target - coalesce(sum(cap) over (partition by source order by cap / weight, intensity
+                rows between unbounded preceding and 1 preceding), 0)::double as rest_size,
+            (sum(weight) over (partition by source order by cap / weight, intensity
+                rows between current row and unbounded following))::double as rest
+        from of_level),
+    told_level as (select *, coalesce(rest_size * weight > cap * rest, true) as is_full from tried_level),
+    expected as (
+        select *, case when is_full then 3.0::double else least(
+            (arg_max(rest_size / rest, rest) filter (not is_full) over (partition by source)) * intensity, 3.0::double) end as copies
+        from told_level),
+    ranked as (
+        select r.doc_id, r.source, r.size, e.source_size, e.target, floor(e.copies) as certain,
+            e.target - (select sum(floor(x.copies) * x.level_size) from expected x
+                where x.source is not distinct from e.source) as rest_size,
+            case when e.copies - floor(e.copies) > 0 then
+                u * (1 - (e.copies - floor(e.copies))) / ((1 - u) * (e.copies - floor(e.copies))) end as odds
+        from rated r join expected e on r.source is not distinct from e.source and r.intensity = e.intensity)
+    select doc_id, size::bigint as size, source_size, target,
+        ((certain + case when odds is not null and sum(case when odds is not null then size else 0 end)
+            over (partition by source order by odds nulls last, doc_id nulls first rows between unbounded preceding and current row)
+            - size / 2 <= rest_size then 1 else 0 end) * size)::bigint as taken
+    from ranked"""
+
+
 QUERIES: dict[str, Build] = {
+    "op1_near_join": op1_near_join,
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_packing": op7_packing,
+    "op9_mixing": op9_mixing,
 }
 
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": OP5_SQL,
+    "op9_mixing": OP9_SQL,
 }
