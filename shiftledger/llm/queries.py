@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiftledger.llm import chat
 from shiftledger.llm.exact_dedup import exact_copies
+from shiftledger.llm.host_rules import judge
 from shiftledger.llm.mixing import with_copies
 from shiftledger.llm.near_join import near_copies
 from shiftledger.llm.packing import pack
@@ -58,6 +60,34 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), tokenizer_path(), with_ids=False).drop("ids")
 
 
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    held = "conv_id long, turn long, role string, text string"
+    marked = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", marked), (-1, 1, "assistant", marked)], held)
+    messages = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.read_back(chat.format_turns(messages))
+
+
+def _escaped_sql(column: str) -> str:
+    held = f"replace({column}, '\\', '\\\\')"
+    for control in chat.CONTROLS:
+        held = f"replace({held}, '{control}', '{control[0]}\\{control[1:]}')"
+    return held
+
+
+OP8_SQL = f"""
+    with every as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+    said as (select *, {_escaped_sql("role")} as head, {_escaped_sql("text")} as body from every)
+    select conv_id, count(*) as n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, head, body)) as turns_sha256,
+        coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+        sha256(coalesce(string_agg(text, '' order by turn nulls first, head, body) filter (role = 'assistant'), '')) as loss_sha256,
+        sum(length(head) + length(body) + {len(chat.TURN + chat.SAYS + chat.OVER)})::bigint as formatted_chars
+    from said group by conv_id"""
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return with_copies(docs).select(
@@ -118,16 +148,69 @@ OP9_SQL = r"""
     from ranked"""
 
 
+def op10_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(table(spark, folder, "documents"))
+
+
+OP10_SQL = r"""
+    with split as (
+        select doc_id, source, coalesce(text, '') as text,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+            [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as lines
+        from documents),
+    windows as (
+        select doc_id, pos, words[pos] || ' ' || words[pos + 1] || ' ' || words[pos + 2] as window_text
+        from (select doc_id, words, unnest(range(1, len(words) - 1)) as pos from split)),
+    again as (select doc_id, pos from windows qualify count(*) over (partition by doc_id, window_text) > 1),
+    covered as (
+        select doc_id, count(distinct place) as n_repeat_words
+        from (select doc_id, unnest([pos, pos + 1, pos + 2]) as place from again) group by doc_id),
+    measured as (
+        select s.doc_id, source, len(words)::bigint as n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::bigint
+                as word_chars,
+            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, len(lines) as n_lines,
+            (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words
+        from split s left join covered c on s.doc_id = c.doc_id),
+    ruled as (
+        select *, n_words < 50 as few_words, 100 * n_repeat_words > 50 * n_words as repeats, 10 * n_symbols > 3 * n_words as symbols,
+            10 * n_dup_lines > 3 * n_lines as dull
+        from measured),
+    counted as (
+        select source, rule, count(*) as n, count(*) filter (failed) as k
+        from (
+            select source, 'few_words' as rule, few_words as failed from ruled
+            union all select source, 'repeats', repeats from ruled
+            union all select source, 'symbols', symbols from ruled
+            union all select source, 'lines', dull from ruled)
+        group by all),
+    spread as (
+        select *, sum(k) over every / sum(n) over every as mean, sum(k * k / n) over every / sum(n) over every as squares
+        from counted window every as (partition by rule)),
+    weighed as (
+        select *, case when squares - mean * mean > 1e-12
+            then least(greatest(mean * (1 - mean) / (squares - mean * mean) - 1, 2), 1000) else 1000 end as prior
+        from spread),
+    hosts as (
+        select source, bool_or((k + mean * prior) / (n + prior) > 0.5) as host_failed from weighed group by source)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few_words or repeats as base_failed, host_failed,
+        not (few_words or repeats) and not host_failed as kept
+    from ruled r join hosts h on r.source is not distinct from h.source"""
+
+
 QUERIES: dict[str, Build] = {
     "op1_near_join": op1_near_join,
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_packing": op7_packing,
+    "op8_chat": op8_chat,
     "op9_mixing": op9_mixing,
+    "op10_host_rules": op10_host_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": OP5_SQL,
+    "op8_chat": OP8_SQL,
     "op9_mixing": OP9_SQL,
+    "op10_host_rules": OP10_SQL,
 }
