@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.llm import chat
+from shiftledger.llm import chat, secrets
 from shiftledger.llm.exact_dedup import exact_copies
 from shiftledger.llm.host_rules import judge
 from shiftledger.llm.mixing import with_copies
@@ -56,6 +56,10 @@ OP5_SQL = """
     from hashed window same as (partition by text_sha256)"""
 
 
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(table(spark, folder, "documents")))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), tokenizer_path(), with_ids=False).drop("ids")
 
@@ -202,6 +206,7 @@ QUERIES: dict[str, Build] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_secrets": op6_secrets,
     "op7_packing": op7_packing,
     "op8_chat": op8_chat,
     "op9_mixing": op9_mixing,
