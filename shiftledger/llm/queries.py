@@ -13,9 +13,12 @@ from shiftledger.llm.host_rules import judge
 from shiftledger.llm.mixing import with_copies
 from shiftledger.llm.near_join import near_copies
 from shiftledger.llm.packing import pack
+from shiftledger.llm.pii import with_surrogates
 from shiftledger.llm.quality import quality_scores
 from shiftledger.llm.toxicity import toxic_passages
 
+SURROGATE_KEY = "registered query"  # in production a secret of the caller
+
 Build = Callable[[SparkSession, str], DataFrame]
 
 
@@ -42,6 +45,11 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return with_surrogates(docs, SURROGATE_KEY)
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_copies(table(spark, folder, "documents"))
 
@@ -205,6 +213,7 @@ QUERIES: dict[str, Build] = {
     "op1_near_join": op1_near_join,
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
+    "op4_pii": op4_pii,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_secrets": op6_secrets,
     "op7_packing": op7_packing,
