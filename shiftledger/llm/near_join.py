@@ -13,7 +13,8 @@
    one row per node, its number of links and the smallest node it is linked to, never pairs.
 5. Links summed over groups, and the components of the verified links, are the result.
 
-No candidate is capped: the links among the nodes of a component are counted exactly.
+The texts of the nodes that share a bucket are fetched by their ids, which are broadcast
+when there are at most ``BROADCAST_IDS`` of them and joined by shuffle otherwise. No candidate is capped: the links among the nodes of a component are counted exactly.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ MOST_HASHES = 256
 BLOCK_GRAMS = 1_000_000  # n-grams in a block of a large component
 BLOCK_NODES = 4096
 STRIP = 512  # nodes of a block compared at once
+BROADCAST_IDS = 1_000_000  # ids (8 bytes each) that may be broadcast after they were counted
 _SALTS = tuple(pow(0x9E3779B97F4A7C15, 2 * i + 3, 1 << 64) | 1 for i in range(64))
 
 
@@ -248,9 +250,10 @@ def _classes(docs: DataFrame, signed: DataFrame, text: str, doc_id: str, words:
         "active",
     )
     null_id = F.lit(-(2**63)).cast("long")
+    ids = active.select(F.coalesce("first_id", null_id).alias("id"))
     texts = docs.select(
         F.coalesce(docs[doc_id].cast("long"), null_id).alias("id"), docs[text].cast("string").alias("text")
-    ).join(active.select(F.coalesce("first_id", null_id).alias("id")).distinct(), "id", "left_semi")
+    ).join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
     sets = kept(
         texts.select("text").mapInArrow(lambda b: _gram_rows(b, words), "h1 long, h2 long, size long, grams binary")
         .join(active.select("node", "root", "h1", "h2", "copies"), ["h1", "h2"])
@@ -270,7 +273,7 @@ def _classes(docs: DataFrame, signed: DataFrame, text: str, doc_id: str, words:
         )
     )
     compared = kept(
-        grouped.groupBy("root", "low", "high")
+        grouped.repartition("root", "low", "high").groupBy("root", "low", "high")
         .applyInArrow(lambda group: _compare_group(group, similarity), "node long, links long, root long"),
         "links",
     )
