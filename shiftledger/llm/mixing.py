@@ -39,18 +39,18 @@ def fill(rows: DataFrame, within: list[str], order: list[Column], cap: str, weig
     """Adds ``level`` and ``full``: a full row gets its cap, another ``level * weight``.
 
     Rows are ordered by cap per weight; a row is full if its share of what the rows before it
-    leave exceeds its cap.
+    leave exceeds its cap, and also without any weight.
     """
-    ascending = Window.partitionBy(*within).orderBy(F.col(cap) / F.col(weight), *order)
+    ascending = Window.partitionBy(*within).orderBy(F.try_divide(F.col(cap), F.col(weight)), *order)
     before = F.coalesce(F.sum(cap).over(ascending.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rest = F.sum(weight).over(ascending.rowsBetween(0, Window.unboundedFollowing))
     left = F.col(total).cast("double") - before.cast("double")
     tried = rows.withColumn("left", left).withColumn("rest", rest.cast("double"))
-    tried = tried.withColumn("full", F.coalesce(F.col("left") * F.col(weight) > F.col(cap) * F.col("rest"), F.lit(True)))
+    tried = tried.withColumn("full", F.coalesce(F.col("left") * F.col(weight) > F.col(cap) * F.col("rest"), F.lit(True)) | (F.col(weight) == 0))
     everywhere = Window.partitionBy(*within)
     # all rows that are not full share the level of the first of them, which has the largest rest
     first = F.max(
-        F.when(~F.col("full"), F.struct("rest", (F.col("left") / F.col("rest")).alias("level")))
+        F.when(~F.col("full"), F.struct("rest", F.try_divide("left", "rest").alias("level")))
     ).over(everywhere)
     return tried.withColumn("level", first["level"]).drop("left", "rest")
 
@@ -100,7 +100,7 @@ def with_copies(
 
     Null text has size 0 and null sources are one source, last in order. A null id draws by its text.
     Repeated rows have equal ranks and are told apart by their place in the
-    table written first. Sources without words have the target 0. An empty table gives no rows.
+    table written first. Documents without words are not taken, and sources without words have the target 0. An empty table gives no rows.
     """
     spark = docs.sparkSession
 
@@ -155,7 +155,7 @@ def with_copies(
     )
     return ranked.join(cuts, F.col("mix_source").eqNullSafe(F.col("edge_source")), "left").select(
         *docs.columns, "mix_size", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
-        (F.floor("copies") + taken.cast("long")).alias("mix_copies"),
+        F.when(F.col("mix_size") > 0, F.floor("copies") + taken.cast("long")).otherwise(F.lit(0)).cast("long").alias("mix_copies"),
     )
 
 

@@ -122,9 +122,9 @@ OP9_SQL = r"""
             3 * source_size as cap, sum(source_size) over () as all_size
         from sources),
     tried as (
-        select *, all_size::double - coalesce(sum(cap) over (order by cap / weight, encode(source) nulls last
+        select *, all_size::double - coalesce(sum(cap) over (order by cap / nullif(weight, 0) nulls first, encode(source) nulls last
                 rows between unbounded preceding and 1 preceding), 0)::double as rest_size,
-            (sum(weight) over (order by cap / weight, encode(source) nulls last
+            (sum(weight) over (order by cap / nullif(weight, 0) nulls first, encode(source) nulls last
                 rows between current row and unbounded following))::double as rest
         from weighted),
     told as (select *, rest_size * weight > cap * rest as is_full from tried),
@@ -136,12 +136,12 @@ OP9_SQL = r"""
         select l.*, t.source_size, t.target, 3 * level_size as cap, level_size * intensity as weight
         from levels l join targets t on l.source is not distinct from t.source),
     tried_level as (
-        select *, target - coalesce(sum(cap) over (partition by source order by cap / weight, intensity
+        select *, target - coalesce(sum(cap) over (partition by source order by cap / nullif(weight, 0) nulls first, intensity
                 rows between unbounded preceding and 1 preceding), 0)::double as rest_size,
-            (sum(weight) over (partition by source order by cap / weight, intensity
+            (sum(weight) over (partition by source order by cap / nullif(weight, 0) nulls first, intensity
                 rows between current row and unbounded following))::double as rest
         from of_level),
-    told_level as (select *, coalesce(rest_size * weight > cap * rest, true) as is_full from tried_level),
+    told_level as (select *, coalesce(rest_size * weight > cap * rest, true) or weight = 0 as is_full from tried_level),
     expected as (
         select *, case when is_full then 3.0::double else least(
             (arg_max(rest_size / rest, rest) filter (not is_full) over (partition by source)) * intensity, 3.0::double) end as copies
