@@ -5,8 +5,9 @@ key ids and long hex strings. What they find, over the whole corpus, is the labe
 sample of random strings; all other runs of at least ``SHORTEST`` identifier characters are the
 sample of ordinary identifiers. Counts of neighbouring characters in both give two
 first-order Markov models, whose log-likelihood ratio is a table of one number per pair of
-ASCII characters; a run outside the rules' spans whose sum passes ``LEAST_RATIO`` is one
-more secret. Only the table of pair counts, bounded by the alphabet, reaches the driver.
+ASCII characters. Runs that score above zero leave the second sample, which may hold secrets
+too, and the models are fitted once more. A run outside the rules' spans whose sum passes
+``LEAST_RATIO`` is one more secret. Only the table of pair counts, bounded by the alphabet, reaches the driver.
 """
 
 from __future__ import annotations
@@ -117,7 +118,9 @@ def find_secrets(
     folder = new_folder(spark, "secrets")
     scan(docs, text, doc_id).write.parquet(folder)
     scanned = spark.read.parquet(folder)
-    table = ratio_table(scanned)
+    first = ratio_table(scanned)
+    ordinary = F.filter("runs", lambda run: log_ratio(run["token"], first) <= 0)
+    table = ratio_table(scanned.select("secrets", ordinary.alias("runs")))
     added = F.filter("runs", lambda run: log_ratio(run["token"], table) >= least_ratio)
     return scanned.select(
         "doc_id", F.sort_array("base").alias("base"),
