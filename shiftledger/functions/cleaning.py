@@ -6,7 +6,7 @@ None of them raises in ANSI mode, depends on the session time zone or leaves the
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,6 +21,9 @@ WHITESPACE = (
 TRUE_TEXTS = ("1", "true", "y", "yes")
 FALSE_TEXTS = ("0", "false", "n", "no")
 
+# How English month names begin.
+MONTH_NAMES = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
+
 _CLOCK = r"\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?"
 ISO_SHAPE = rf"^\s*\d{{4}}-\d{{1,2}}-\d{{1,2}}(?:[ T]{_CLOCK})?\s*$"
 MONTH_FIRST_SHAPE = rf"^\s*(\d{{1,2}})/(\d{{1,2}})/(\d{{4}})((?: {_CLOCK})?)\s*$"
@@ -35,19 +38,69 @@ def strip_text(text: Column) -> Column:
     return F.nullif(F.btrim(text, F.lit(WHITESPACE)), F.lit(""))
 
 
-def parse_timestamp(text: Column) -> Column:
-    """Timestamp without zone from ISO or month-first text.
+def parse_timestamp(text: Column, formats: Iterable[tuple[str, str]] = ()) -> Column:
+    """Timestamp without zone from ISO or month-first text, or from other shapes.
+
+    ``formats`` are tried in order on texts of neither shape: a pattern for the date and its
+    replacement in the form year-month-day. There the month may be an English
+    name, the time may be on a 12-hour clock, and after a zone (Z or an offset) the time is in UTC.
 
     The shape is tested because a bare cast would also take partial dates such as ``2020``.
-    The text is named once, so that an expression in its place is computed once.
     """
     year_first = F.regexp_replace(text, MONTH_FIRST_SHAPE, "$3-$1-$2$4")
-    return F.regexp_extract(year_first, ISO_SHAPE, 0).try_cast("timestamp_ntz")
+    plain = F.regexp_extract(year_first, ISO_SHAPE, 0).try_cast("timestamp_ntz")
+    formats = list(formats)
+    return F.coalesce(plain, _parse_other(text, formats)) if formats else plain
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _parse_other(text: Column, formats: list[tuple[str, str]]) -> Column:
+    parts = rf"^(.*?)(?:(?:[ T]+({_CLOCK})|T(\d{{4}}(?:\d\d)?))\s*([AP]M)?\s*(Z|[+-]\d\d:?\d\d)?)?$"
+    names = ("day", "clock", "short", "half", "zone")
+
+    def split(word: Column) -> Column:
+        return F.struct(*[F.regexp_extract(word, parts, place).alias(name) for place, name in enumerate(names, start=1)])
+
+    def with_numbered_month(day: Column) -> Column:
+        name = F.regexp_extract(day, "([A-Z]{3})", 1)
+        number = F.floor((F.instr(F.lit("".join(MONTH_NAMES)), name) + 2) / 3).cast("string")
+        return F.when(name == "", day).otherwise(F.regexp_replace(day, "[A-Z]{3,}", F.concat(F.lit("M"), number)))
+
+    def as_iso(day: Column) -> Column:
+        date = F.lit(None).cast("string")
+        for pattern, replacement in reversed(formats):
+            date = F.when(day.rlike(rf"^{pattern}$"), F.regexp_replace(day, rf"^{pattern}$", replacement)).otherwise(date)
+        return date
+
+    def local(date: Column, part: Column) -> Column:
+        short = F.regexp_replace(F.regexp_replace(part["short"], r"^(\d\d)(\d\d)(\d\d)?$", "$1:$2:$3"), r":$", "")
+        clock = F.concat(part["clock"], short)
+        hour = F.regexp_extract(clock, r"^(\d+)", 1).try_cast("int")
+        turned = F.concat(
+            (hour % 12 + F.when(part["half"] == "PM", 12).otherwise(0)).cast("string"), F.regexp_extract(clock, r"^\d+(:.*)$", 1)
+        )
+        time = F.when(part["half"] == "", clock).when(hour.between(1, 12), turned)
+        text = F.when(time == "", date).otherwise(F.concat(date, F.lit(" "), time))
+        return F.when(date.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text).try_cast("timestamp_ntz")
+
+    def minutes(zone: Column) -> Column:
+        hours, rest = (F.regexp_extract(zone, r"(\d\d):?(\d\d)$", place).try_cast("int") for place in (1, 2))
+        return F.coalesce(hours * 60 + rest, F.lit(0)) * F.when(zone.startswith("-"), -1).otherwise(1)
+
+    def read(part: Column) -> Column:
+        date = _bound(with_numbered_month(part["day"]), as_iso)
+        return _bound(date, lambda d: local(d, part)) - F.make_dt_interval(mins=minutes(part["zone"]))
+
+    return _bound(split(F.upper(F.btrim(text, F.lit(WHITESPACE)))), read)
 
 
-def parse_date(text: Column) -> Column:
+def parse_date(text: Column, formats: Iterable[tuple[str, str]] = ()) -> Column:
     """Date from the same texts; a time of day is dropped."""
-    return parse_timestamp(text).cast("date")
+    return parse_timestamp(text, formats).cast("date")
 
 
 def parse_number(text: Column) -> Column:

@@ -75,9 +75,9 @@ def insert_absent(
     held = current.select(*keys)
     if null_safe:
         once = incoming if unique else first_per_key(incoming, keys, order)
-        return _without(once, held.distinct(), keys, null_safe=True)
+        return _without(once, held, keys, null_safe=True)
     keyed = reduce(Column.__and__, [F.col(name).isNotNull() for name in keys])
-    held_keys = held.where(keyed).distinct()
+    held_keys = held.where(keyed)
     if unique:
         return _without(incoming, held_keys, keys, null_safe=False)
     once = first_per_key(incoming.where(keyed), keys, order)

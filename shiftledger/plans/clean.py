@@ -28,8 +28,8 @@ _PARSERS = {
 }
 
 
-def typed(raw: DataFrame, fields: dict[str, T.DataType]) -> DataFrame:
-    """The listed columns parsed by type, and the lineage columns that are there.
+def typed(raw: DataFrame, fields: dict[str, T.DataType], formats: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """The listed columns parsed by type (dates and times also by ``formats``), and the lineage columns that are there.
 
     A column the input lacks becomes a typed NULL.
     """
@@ -37,6 +37,8 @@ def typed(raw: DataFrame, fields: dict[str, T.DataType]) -> DataFrame:
     def parsed(name: str, kind: T.DataType) -> Column:
         if name not in raw.columns:
             return F.lit(None).cast(kind).alias(name)
+        if isinstance(kind, (T.DateType, T.TimestampNTZType)):
+            return _PARSERS[kind](F.col(name), formats).alias(name)
         return _PARSERS.get(kind, parse_number)(F.col(name)).alias(name)
 
     lineage = [F.col(name) for name in LINEAGE_FIELDS if name in raw.columns]
@@ -44,10 +46,11 @@ def typed(raw: DataFrame, fields: dict[str, T.DataType]) -> DataFrame:
 
 
 def newest_first(df: DataFrame) -> list[Column]:
-    """Latest load, in it the last file by name, in that the first row."""
+    """Latest load, in it the last file by name and then by path, in that the first row."""
     order = {
         "loaded_at": F.desc("loaded_at"),
         "source_file": F.desc("source_file"),
+        "source_path": F.desc("source_path"),
         "source_offset": F.asc("source_offset"),
         "source_row": F.asc("source_row"),
     }
@@ -56,7 +59,7 @@ def newest_first(df: DataFrame) -> list[Column]:
 
 def arrival_order(df: DataFrame) -> list[Column]:
     """The order in which loads appended the rows."""
-    names = ("loaded_at", "source_file", "source_offset", "source_row")
+    names = ("loaded_at", "source_file", "source_path", "source_offset", "source_row")
     return [F.asc(name) for name in names if name in df.columns]
 
 
@@ -67,7 +70,7 @@ def clean_employees(raw: DataFrame, rules: Rules) -> DataFrame:
     Only the rows kept are parsed.
     """
     rows = raw.withColumn(ID, strip_text(F.col(ID))).where(F.col(ID).isNotNull())
-    kept = typed(first_per_key(rows, [ID], newest_first(rows)), EMPLOYEE_FIELDS)
+    kept = typed(first_per_key(rows, [ID], newest_first(rows)), EMPLOYEE_FIELDS, rules.date_formats)
     return kept.withColumn("active_status", F.col("term_date").isNull()).select(*EMPLOYEE_FIELDS)
 
 
@@ -76,7 +79,21 @@ def clean_timesheets(raw: DataFrame, rules: Rules) -> DataFrame:
 
     The ids are judged as they came: a filter on parsed columns would parse them twice.
     """
-    return typed(raw.where(~is_junk_id(F.col(ID), rules.junk_ids)), TIMESHEET_FIELDS)
+    return typed(raw.where(~is_junk_id(F.col(ID), rules.junk_ids)), TIMESHEET_FIELDS, rules.date_formats)
+
+
+def unreadable(raw: DataFrame, parsed: DataFrame, fields: dict[str, T.DataType], key: str = ID) -> DataFrame:
+    """(column, texts, values): per typed column the texts given and the values read from them.
+
+    ``raw`` and ``parsed`` have the same rows; texts without a value became NULL.
+    """
+    names = [n for n, kind in fields.items() if not isinstance(kind, T.StringType) and n in raw.columns and n != key]
+    given = raw.agg(*[F.count(strip_text(F.col(n))).alias(n) for n in names])
+    read = parsed.agg(*[F.count(n).alias(n) for n in names])
+    listed = lambda frame, label: frame.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("column"), F.col(n).alias(label)) for n in names
+    ])).alias("one")).select("one.*")
+    return listed(given, "texts").join(listed(read, "values"), "column")
 
 
 def junk_summary(raw: DataFrame, rules: Rules) -> DataFrame:

@@ -180,5 +180,7 @@ def rolling_snapshot(timesheets: DataFrame, *, employee_id: str | None = None) -
 
 
 def rolling_top(timesheets: DataFrame, *, employee_id: str | None = None, limit: int = 15) -> DataFrame:
-    """The first ``limit`` employees by id of the snapshot."""
-    return rolling_snapshot(timesheets, employee_id=employee_id).limit(limit)
+    """The first ``limit`` employees by id of the snapshot; only their hours are added up."""
+    rows = in_range(timesheets, employee_id=employee_id)
+    first = _recorded(rows).select(F.col(ID).alias("first_id")).distinct().orderBy("first_id").limit(limit)
+    return rolling_snapshot(rows.join(first, F.col(ID).eqNullSafe(F.col("first_id")), "left_semi"))

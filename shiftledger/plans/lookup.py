@@ -11,16 +11,16 @@ from shiftledger.plans.headcount import real_employees
 from shiftledger.plans.hours import in_range
 
 ID = "client_employee_id"
-MOST_SEARCH_HITS = 200
-MOST_ROWS = 500
 
 
-def _page(df: DataFrame, limit: int, offset: int, most: int) -> DataFrame:
-    if not 0 <= limit <= most:
-        raise ValueError(f"limit must be between 0 and {most}")
+def _page(df: DataFrame, limit: int | None, offset: int) -> DataFrame:
+    """All rows from ``offset`` on, or ``limit`` of them."""
+    if limit is not None and limit < 0:
+        raise ValueError("limit must not be negative")
     if offset < 0:
         raise ValueError("offset must not be negative")
-    return (df.offset(offset) if offset else df).limit(limit)
+    rows = df.offset(offset) if offset else df
+    return rows if limit is None else rows.limit(limit)
 
 
 def departments(employees: DataFrame) -> DataFrame:
@@ -28,12 +28,12 @@ def departments(employees: DataFrame) -> DataFrame:
     return named.select("department_name").distinct().orderBy("department_name")
 
 
-def search_employees(employees: DataFrame, query: str = "", *, limit: int = 50) -> DataFrame:
+def search_employees(employees: DataFrame, query: str = "", *, limit: int | None = 50) -> DataFrame:
     """Employees whose id or name contains ``query``, in any case; % and _ act as wildcards."""
     pattern = f"%{query}%"
     hits = real_employees(employees).where(F.col(ID).ilike(pattern) | F.col("full_name").ilike(pattern))
     listed = hits.select(ID, "full_name", "department_name").orderBy(F.asc_nulls_last("full_name"), ID)
-    return _page(listed, limit, 0, MOST_SEARCH_HITS)
+    return _page(listed, limit, 0)
 
 
 def list_employees(
@@ -41,7 +41,7 @@ def list_employees(
     *,
     department: str | None = None,
     active: bool | None = None,
-    limit: int = 50,
+    limit: int | None = 50,
     offset: int = 0,
 ) -> DataFrame:
     rows = employees
@@ -49,7 +49,7 @@ def list_employees(
         rows = rows.where(F.col("department_name") == department)
     if active is not None:
         rows = rows.where(F.col("active_status") == active)
-    return _page(rows.orderBy(ID), limit, offset, MOST_ROWS)
+    return _page(rows.orderBy(ID), limit, offset)
 
 
 def employee(employees: DataFrame, employee_id: str) -> DataFrame:
@@ -62,15 +62,15 @@ def list_timesheets(
     employee_id: str | None = None,
     start: date | None = None,
     end: date | None = None,
-    limit: int = 50,
+    limit: int | None = 50,
     offset: int = 0,
 ) -> DataFrame:
     """Punches, latest day first; the punch times and all other columns settle ties."""
     rows = in_range(timesheets, employee_id=employee_id, start=start, end=end)
     ties = [ID, "punch_in_datetime", "punch_out_datetime"]
     rest = [name for name in rows.columns if name not in (*ties, "punch_apply_date")]
-    return _page(rows.orderBy(F.desc_nulls_first("punch_apply_date"), *ties, *rest), limit, offset, MOST_ROWS)
+    return _page(rows.orderBy(F.desc_nulls_first("punch_apply_date"), *ties, *rest), limit, offset)
 
 
-def timesheets_of(timesheets: DataFrame, employee_id: str, **options) -> DataFrame:
-    return list_timesheets(timesheets, employee_id=employee_id, **options)
+def timesheets_of(timesheets: DataFrame, employee_id: str, *, limit: int | None = None, **options) -> DataFrame:
+    return list_timesheets(timesheets, employee_id=employee_id, limit=limit, **options)

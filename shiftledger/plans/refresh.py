@@ -3,23 +3,29 @@
 from __future__ import annotations
 
 import logging
+import time
 import uuid
+from dataclasses import replace
+from datetime import datetime
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.operators import insert_absent, upsert
+from shiftledger.operators import ConstraintViolation, insert_absent, upsert
+from shiftledger.operators.constraints import BROKEN, ROW_RULES, mark_broken, orphan_keys
 from shiftledger.plans import quality, report
 from shiftledger.plans.clean import clean_employees, clean_timesheets, junk_summary, placeholders
 from shiftledger.plans.curate import PUNCH_KEY, curate_employees, curate_timesheets
 from shiftledger.rules import Rules
 from shiftledger.schemas import EMPLOYEE_FIELDS, TIMESHEET_FIELDS
+from shiftledger.session import new_folder
 from shiftledger.sources import Intake, Layers, read_delimited
 
 log = logging.getLogger(__name__)
 
 ID = "client_employee_id"
+KNOWN_EMPLOYEE = "client_employee_id_known"
 
 
 class Refresh(NamedTuple):
@@ -37,54 +43,68 @@ def load_raw(
 ) -> Intake:
     """Appends the files of a folder to a raw table.
 
-    ``append`` takes all files at every run; ``new_files`` only those the table does not name yet.
+    ``append`` takes all files at every run; ``new_files`` only those that no
+    committed load holds, by path, length and time of change.
     """
     if mode not in ("append", "new_files"):
         raise ValueError(f"unknown mode: {mode}")
-    loaded = layers.read(table) if mode == "new_files" else None
+    loaded = layers.loaded_files(table) if mode == "new_files" else None
     intake = read_delimited(layers.spark, folder, columns, rules, recursive=recursive, loaded=loaded)
     for row in intake.rejects.collect():
         log.error("%s: file refused, %s", row["source_file"], row["reason"])
     if intake.files_read:
-        counts = layers.append(intake.rows, table)
+        counts = layers.append(intake.rows, table, files=intake.files)
         log.info("%s: %s rows from %s files", table, counts["rows"], intake.files_read)
     else:
         log.warning("%s: no files to load in %s", table, folder)
     return intake
 
 
-def _raw_rows(layers: Layers, table: str, rules: Rules, only_this_load: bool) -> DataFrame:
-    raw = layers.read(table)
-    if only_this_load:
-        return raw.where(F.col("loaded_at") == F.lit(rules.stamp).cast("timestamp"))
-    return raw
+def _raw_rows(layers: Layers, table: str, only_this_load: bool) -> DataFrame:
+    """All raw rows, or those that these layers have loaded last; the folder of that load alone is read."""
+    return layers.read_written(table) if only_this_load else layers.read(table)
+
+
+def merge(layers: Layers, incoming: DataFrame, table: str, rules: Rules, on_violation: str) -> None:
+    """Upserts employees. In quarantine only good rows are merged, so a bad update leaves the stored row as it is."""
+    if on_violation == "quarantine":
+        folder = new_folder(layers.spark, "incoming")
+        mark_broken(incoming, ROW_RULES[table]).write.parquet(folder)
+        marked = layers.spark.read.parquet(folder)
+        layers.set_aside(marked.where(F.size(BROKEN) > 0), table)
+        incoming = marked.where(F.size(BROKEN) == 0).drop(BROKEN)
+    layers.replace(upsert(layers.read(table), incoming, ID, rules.stamp), table)
 
 
 def stage_employees(
     layers: Layers, rules: Rules, *, on_violation: str = "fail", only_this_load: bool = False
-) -> None:
-    raw = _raw_rows(layers, "raw.employee_raw", rules, only_this_load)
+) -> bool:
+    """Returns whether there was anything to stage."""
+    raw = _raw_rows(layers, "raw.employee_raw", only_this_load)
     if raw.isEmpty():
         log.warning("no raw employees, nothing to stage")
-        return
-    table = "staging.employee_staging"
-    merged = upsert(layers.read(table), clean_employees(raw, rules), ID, rules.stamp)
-    layers.replace(merged, table, on_violation=on_violation)
+        return False
+    merge(layers, clean_employees(raw, rules), "staging.employee_staging", rules, on_violation)
+    return True
 
 
 def stage_timesheets(
     layers: Layers, rules: Rules, *, on_violation: str = "fail", only_this_load: bool = False
-) -> None:
-    """Reloads the staged timesheets and adds a placeholder for every unknown employee id."""
-    raw = _raw_rows(layers, "raw.timesheet_raw", rules, only_this_load)
+) -> bool:
+    """Reloads the staged timesheets and adds a placeholder for every unknown employee id.
+
+    Returns whether there was anything to stage.
+    """
+    raw = _raw_rows(layers, "raw.timesheet_raw", only_this_load)
     if raw.isEmpty():
         log.warning("no raw timesheets, nothing to stage")
-        return
+        return False
     now = F.lit(rules.stamp).cast("timestamp")
     table, people = "staging.timesheet_staging", "staging.employee_staging"
     layers.replace(clean_timesheets(raw, rules).withColumn("created_at", now), table, on_violation=on_violation)
     unknown = placeholders(layers.read(table), layers.read(people))
     layers.append(unknown.withColumns({"created_at": now, "updated_at": now}), people)
+    return True
 
 
 def load_employees(layers: Layers, rules: Rules, *, on_violation: str = "fail") -> None:
@@ -92,23 +112,51 @@ def load_employees(layers: Layers, rules: Rules, *, on_violation: str = "fail")
     if staged.isEmpty():
         log.warning("no staged employees, nothing to curate")
         return
-    table = "curated.employee"
-    merged = upsert(layers.read(table), curate_employees(staged, rules), ID, rules.stamp)
-    layers.replace(merged, table, on_violation=on_violation)
+    merge(layers, curate_employees(staged, rules), "curated.employee", rules, on_violation)
+
+
+def _held_near(held: DataFrame, incoming: DataFrame, *, null_safe: bool) -> DataFrame:
+    """The rows of ``held`` that can share a key with ``incoming``: those in its span of punch times.
+
+    A known punch time equals only itself, so the scan of the history is pruned by the load's first
+    and last; missing times are kept where they count as equal.
+    """
+    punch = F.col("punch_in_datetime")
+    first, last = incoming.agg(F.min(punch), F.max(punch)).first()
+    inside = punch.between(F.lit(first), F.lit(last)) if first is not None else F.lit(False)
+    return held.where(inside | punch.isNull() if null_safe else inside)
+
+
+def _with_known_employees(layers: Layers, rows: DataFrame, table: str, on_violation: str) -> DataFrame:
+    """The punches whose employee is curated; others stop the load or go to quarantine."""
+    orphans = orphan_keys(rows, layers.read("curated.employee"), ID)
+    if on_violation != "quarantine":
+        count = orphans.agg(F.sum("rows")).first()[0]
+        if count:
+            raise ConstraintViolation(table, {KNOWN_EMPLOYEE: count})
+        return rows
+    ids = orphans.select(ID)
+    layers.set_aside(rows.join(ids, ID, "left_semi").withColumn(BROKEN, F.array(F.lit(KNOWN_EMPLOYEE))), table)
+    return rows.join(ids, ID, "left_anti")
 
 
 def load_timesheets(
-    layers: Layers, rules: Rules, *, on_violation: str = "fail", null_safe: bool = False
+    layers: Layers, rules: Rules, *, on_violation: str = "fail", null_safe: bool = True
 ) -> None:
-    """Adds the punches that the curated table lacks; those it has stay as they are."""
+    """Adds the punches that the curated table lacks; those it has stay as they are.
+
+    Missing punch times are equal by default, so that a repeated load adds nothing. With
+    ``null_safe=False`` they differ from everything, as in a SQL unique constraint.
+    """
     staged = layers.read("staging.timesheet_staging")
     if staged.isEmpty():
         log.warning("no staged timesheets, nothing to curate")
         return
     table = "curated.timesheet"
-    fresh = insert_absent(
-        layers.read(table), curate_timesheets(staged, rules), PUNCH_KEY, null_safe=null_safe, unique=True
-    )
+    incoming = curate_timesheets(staged, rules)
+    held = _held_near(layers.read(table), staged, null_safe=null_safe)
+    fresh = insert_absent(held, incoming, PUNCH_KEY, null_safe=null_safe, unique=True)
+    fresh = _with_known_employees(layers, fresh, table, on_violation)
     now = F.lit(rules.stamp).cast("timestamp")
     layers.append(fresh.withColumn("created_at", now), table, on_violation=on_violation)
 
@@ -116,7 +164,8 @@ def load_timesheets(
 def check(layers: Layers, rules: Rules, *, json_path: str | None = None) -> DataFrame:
     """Stores the check results, then stops the run when a critical check failed."""
     results = quality.run_checks(
-        layers.read("curated.employee"), layers.read("curated.timesheet"), rules, uuid.uuid4().hex
+        layers.read("curated.employee"), layers.read("curated.timesheet"), rules,
+        f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}",  # later runs have larger ids
     )
     layers.append(results, "quality.check_results")
     if json_path:
@@ -135,25 +184,30 @@ def refresh(
     mode: str = "append",
     recursive: bool = True,
     on_violation: str = "fail",
-    null_safe: bool = False,
+    null_safe: bool = True,
     only_this_load: bool = False,
 ) -> Refresh:
     """Runs all steps in order. ``root`` is a folder that all executors share.
 
     By default all raw rows are staged again at every run. With
-    ``only_this_load`` only those of this run are: the curated tables come out
-    the same, as employees are updated by the latest load and punches already
-    there stay, and the work follows the load instead of the whole history.
+    ``only_this_load`` only those of this run are, and tables without new files are not
+    curated again: employees are updated by the latest load and punches already
+    there stay, and the work follows the load instead of the whole history. Without ``rules.run_at`` the
+    clock is read once, at the start, so that later runs of a day are later.
     """
+    if rules.run_at is None:
+        rules = replace(rules, run_at=datetime.now())
     layers = Layers(spark, root)
     options = {"mode": mode, "recursive": recursive}
     people = load_raw(layers, "raw.employee_raw", employee_folder, list(EMPLOYEE_FIELDS), rules, **options)
     punches = load_raw(layers, "raw.timesheet_raw", timesheet_folder, list(TIMESHEET_FIELDS), rules, **options)
     scope = {"on_violation": on_violation, "only_this_load": only_this_load}
-    stage_employees(layers, rules, **scope)
-    stage_timesheets(layers, rules, **scope)
-    load_employees(layers, rules, on_violation=on_violation)
-    load_timesheets(layers, rules, on_violation=on_violation, null_safe=null_safe)
+    new_people = stage_employees(layers, rules, **scope)
+    new_punches = stage_timesheets(layers, rules, **scope)
+    if new_people or new_punches:  # new punches may bring placeholders
+        load_employees(layers, rules, on_violation=on_violation)
+    if new_punches:
+        load_timesheets(layers, rules, on_violation=on_violation, null_safe=null_safe)
     reports = f"{layers.root}/reports"
     results = check(layers, rules, json_path=f"{reports}/quality_{uuid.uuid4().hex}.json")
     paths = report.write_report(

@@ -195,6 +195,14 @@ def _(spark, sf):
     return report.latest_results(_two_runs(spark, sf))
 
 
+@query("r2_two_runs_one_day", sql("emp_bad ts_bad", f"""
+    {PAIRED_EMP}, results as ({_results_sql(_LIMITS)}) select * from results"""))
+def _(spark, sf):
+    """Two runs with one stamp: the later one has the larger run id."""
+    good = quality.run_checks(employees(spark, sf), timesheets(spark, sf), RULES, "00000001-z")
+    return report.latest_results(_results(spark, sf, "00000002-a").unionByName(good))
+
+
 @query("r3_passed_of_total", sql("emp_bad ts_bad", f"""
     {PAIRED_EMP}, results as ({_results_sql(_LIMITS)})
     select count(*) filter (where passed) as passed, count(*) as total from results"""))

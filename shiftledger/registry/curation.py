@@ -20,6 +20,7 @@ from shiftledger.registry.bridge import (
     sql,
     staged_employees,
     staged_timesheets,
+    table,
     timesheets,
 )
 from shiftledger.schemas import CURATED_TIMESHEET_FIELDS, EMPLOYEE_FIELDS, TIMESHEET_FIELDS
@@ -78,6 +79,38 @@ def _(spark, sf):
     )
 
 
+# The same day written in eight ways, with the time that each says.
+_WRITTEN = {
+    "concat(date_format(l_shipdate, 'MM/dd/yyyy'), ' 08:05 AM')": "interval '485' minute",
+    "concat(date_format(l_shipdate, 'yyyy-MM-dd'), 'T08:00:00Z')": "interval '480' minute",
+    "concat(date_format(l_shipdate, 'yyyy-MM-dd'), ' 08:00:00+05:30')": "interval '150' minute",
+    "date_format(l_shipdate, 'yyyyMMdd')": "interval '0' minute",
+    "date_format(l_shipdate, 'd-MMM-yyyy')": "interval '0' minute",
+    "date_format(l_shipdate, 'M/d/yy')": "interval '0' minute",
+    "concat(date_format(l_shipdate, 'MMM d, yyyy'), ' 12:30 pm')": "interval '750' minute",
+    "concat(date_format(l_shipdate, 'yyyyMMdd'), 'T2359')": "interval '1439' minute",
+}
+_TEXT = "case " + " ".join(f"when l_orderkey % 8 = {n} then {text}" for n, text in enumerate(_WRITTEN)) + " end"
+_TIME = "case " + " ".join(f"when l_orderkey % 8 = {n} then {time}" for n, time in enumerate(_WRITTEN.values())) + " end"
+
+
+@query("cln2_formats", f"""
+    select l_orderkey, l_linenumber, cast(cast(l_shipdate as date) + {_TIME} as date) as day from lineitem""")
+def _(spark, sf):
+    text = F.expr(_TEXT)
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", parse_date(text, RULES.date_formats).alias("day")
+    )
+
+
+@query("cln3_formats", f"select l_orderkey, l_linenumber, cast(l_shipdate as date) + {_TIME} as at_time from lineitem")
+def _(spark, sf):
+    text = F.expr(_TEXT)
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", parse_timestamp(text, RULES.date_formats).alias("at_time")
+    )
+
+
 @query("cln4_parse_number", sql("raw_ts", f"""
     select hours_worked as given, {AS_NUMBER.format("hours_worked")} as parsed, count(*) as n from raw_ts group by all"""))
 def _(spark, sf):

@@ -150,6 +150,47 @@ def _(spark, sf):
     return kept.unionByName(reasons.distinct())
 
 
+_SURPLUS = 20_000  # columns beside the known ones
+
+
+@query("src8_wide_files", """
+    select s_suppkey % 3 as kind, cast(s_suppkey as varchar) as client_employee_id from supplier where s_suppkey % 3 <> 1
+    union all select 1, 'a line has more fields than the header'""")
+def _(spark, sf):
+    """A wide good file, a wide file in which one line is too long, and a narrow good file."""
+    folder = new_folder(spark, "wide")
+    wide = RULES.delimiter.join(["client_employee_id", *(f"c{n}" for n in range(_SURPLUS))])
+    people = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), (F.col("s_suppkey") % 3).alias("kind"))
+    rest = F.lit(RULES.delimiter * _SURPLUS)
+    for kind, header, line in (
+        (0, wide, F.concat("id", rest)), (1, wide, F.concat("id", rest, F.lit(f"{RULES.delimiter}x"))),
+        (2, "client_employee_id", F.col("id")),
+    ):
+        lines = people.where(F.col("kind") == kind).select(line.alias("value"))
+        spark.createDataFrame([(header,)], "value string").unionByName(lines).coalesce(1).write.mode("append").text(folder)
+    found = read_delimited(spark, folder, TIMESHEET_COLUMNS, RULES, pattern="*.txt")
+    kept = found.rows.select((F.col("client_employee_id").cast("long") % 3).alias("kind"), "client_employee_id")
+    return kept.unionByName(found.rejects.select(F.lit(1).cast("long").alias("kind"), F.col("reason").alias("client_employee_id")))
+
+
+_LONG = "replace(text, chr(10), ' \"\"quoted | \" ')"
+
+
+@query("src1_long_quoted_fields", f"""
+    select cast(doc_id as varchar) as client_employee_id, {_LONG} as punch_in_comment, lang as pay_code from documents""")
+def _(spark, sf):
+    """Whole documents as quoted comments, with quotes and delimiters where their lines ended."""
+    folder = new_folder(spark, "long")
+    columns = ["client_employee_id", "punch_in_comment", "pay_code"]
+    _write(
+        table(spark, sf, "documents").select(
+            F.col("doc_id").cast("string").alias(columns[0]), F.expr(_LONG).alias(columns[1]), F.col("lang").alias(columns[2])
+        ),
+        folder,
+    )
+    return read_delimited(spark, folder, TIMESHEET_COLUMNS, RULES).rows.select(*columns)
+
+
 @query("src9_no_matching_files", """
     select l_returnflag as pay_code, count(*) as lines_written, 0 as rows_read from lineitem group by 1""")
 def _(spark, sf):

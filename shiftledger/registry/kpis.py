@@ -191,8 +191,7 @@ def _(spark, sf):
 @query("k31_early_leavers", sql("emp", """
     select client_employee_id, full_name, department_name, hire_date, term_date,
         term_date - hire_date as days_employed,
-        case when term_date - hire_date <= 90 then '90 days' when term_date - hire_date <= 182 then '6 months'
-            else 'later' end as attrition_bucket
+        if(term_date - hire_date > 90, '6 months', '90 days') as attrition_bucket
     from emp where not is_placeholder and hire_date is not null and term_date is not null
         and term_date - hire_date <= 182"""))
 def _(spark, sf):

@@ -54,6 +54,6 @@ def _(spark, sf):
 
 
 @query("lq6_timesheets_of_employee", sql("ts", f"""
-    select {_PUNCH} from ts where client_employee_id = '7' order by {_TIES} limit 500"""))
+    select {_PUNCH} from ts where client_employee_id = '7'"""))
 def _(spark, sf):
-    return lookup.timesheets_of(timesheets(spark, sf), "7", limit=500).select(*PUNCH)
+    return lookup.timesheets_of(timesheets(spark, sf), "7").select(*PUNCH)

@@ -7,12 +7,13 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from shiftledger.operators import insert_absent, upsert
-from shiftledger.plans import clean, curate
+from shiftledger.plans import clean, curate, refresh
 from shiftledger.registry import query
 from shiftledger.registry.bridge import (
     FLAGS_SQL,
     RULES,
     employees,
+    inconsistent_employees,
     raw_timesheets,
     sql,
     staged_employees,
@@ -118,8 +119,7 @@ def _(spark, sf):
 def _(spark, sf):
     people = staged_employees(spark, sf)
     made = clean.placeholders(staged_timesheets(spark, sf), people)
-    added = insert_absent(people, made, [ID], unique=True)
-    return people.unionByName(added).select(ID, "first_name", "last_name")
+    return people.unionByName(made, allowMissingColumns=True).select(ID, "first_name", "last_name")
 
 
 # The curated table as an earlier load left it: punches before 1998.
@@ -164,14 +164,41 @@ def _(spark, sf):
 def _(spark, sf):
     layers = Layers(spark, new_folder(spark, "curated"))
     flagged = curate.with_attendance_flags(staged_timesheets(spark, sf), RULES)
-    consistent = F.coalesce(F.col("punch_out_datetime") > F.col("punch_in_datetime"), F.lit(True))
-    layers.append(flagged.where(consistent), "curated.timesheet")
+    layers.append(flagged, "curated.timesheet")
     stored = layers.read("curated.timesheet")
     return stored.groupBy("month").agg(
         F.count(F.lit(1)).alias("punches"), F.count_if("is_late_arrival").alias("late")
     )
 
 
+@query("snk3_upsert_with_quarantine", sql("emp emp_bad", """
+    select client_employee_id, e.hire_date, case when coalesce(b.term_date < b.hire_date or b.tenure_days < 0, false)
+        then e.term_date else b.term_date end as term_date
+    from emp e join emp_bad b using (client_employee_id)"""))
+def _(spark, sf):
+    """Updates of which some are bad: the stored rows of those stay."""
+    layers = Layers(spark, new_folder(spark, "curated"))
+    layers.replace(employees(spark, sf), "curated.employee")
+    for _ in range(2):  # the second run changes nothing
+        refresh.merge(layers, inconsistent_employees(spark, sf), "curated.employee", RULES, "quarantine")
+    return layers.read("curated.employee").select(ID, "hire_date", "term_date")
+
+
+@query("snk5_repeated_load", sql("punches", f"""
+    keys as (select distinct {_KEY} from punches)
+    select client_employee_id, count(*) as punches from keys group by 1"""))
+def _(spark, sf):
+    """The same staged punches, some without a punch time, curated twice."""
+    layers = Layers(spark, new_folder(spark, "curated"))
+    punches = staged_timesheets(spark, sf).withColumn("source_file", F.lit("punches.csv"))
+    layers.replace(punches, "staging.timesheet_staging")
+    known = clean.placeholders(punches, staged_employees(spark, sf).limit(0))
+    layers.replace(curate.curate_employees(known, RULES), "curated.employee")
+    for _ in range(2):
+        refresh.load_timesheets(layers, RULES)
+    return layers.read("curated.timesheet").groupBy(ID).agg(F.count(F.lit(1)).alias("punches"))
+
+
 @query("snk6_reload_staging", sql("punches", """
     select client_employee_id, count(*) as punches, cast(sum(hours_worked) as double) as hours from punches group by 1"""))
 def _(spark, sf):

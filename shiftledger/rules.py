@@ -19,6 +19,19 @@ FILE_NULL_TOKENS = ("[NULL]", "", "NULL")
 KNOWN_JUNK_IDS = ("999999", "999951", "TEST2", "CMCRN-3")
 
 
+# Date shapes beside ISO and month/day/year: pattern and year-month-day replacement, tried in this
+# order. A month name stands as M and its number there; years of two digits are of this century up to 68.
+DATE_FORMATS = (
+    (r"(\d{4})[-/](\d{1,2})[-/](\d{1,2})", "$1-$2-$3"),
+    (r"(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2"),
+    (r"(\d{4})(\d\d)(\d\d)", "$1-$2-$3"),
+    (r"(\d{1,2})[- ]M(\d{1,2})[- ,]+(\d{4})", "$3-$2-$1"),
+    (r"M(\d{1,2})[- ](\d{1,2})[- ,]+(\d{4})", "$3-$1-$2"),
+    (r"(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])", "20$3-$1-$2"),
+    (r"(\d{1,2})/(\d{1,2})/(\d\d)", "19$3-$1-$2"),
+)
+
+
 @dataclass(frozen=True)
 class Rules:
     """One immutable set of parameters for a run.
@@ -34,6 +47,7 @@ class Rules:
     encoding: str = "utf-8"
     null_tokens: tuple[str, ...] = READER_NULL_TOKENS + FILE_NULL_TOKENS
     junk_ids: tuple[str, ...] = KNOWN_JUNK_IDS
+    date_formats: tuple[tuple[str, str], ...] = DATE_FORMATS
     grace_minutes: int = 5
     zero_tolerance: float = 0
     missing_schedule_limit: float = 10
@@ -54,6 +68,7 @@ class Rules:
             "delimiter": files.get("delimiter"),
             "quote": files.get("quote_char"),
             "encoding": files.get("encoding"),
+            "date_formats": files.get("date_formats") and tuple(map(tuple, files["date_formats"])),
             "grace_minutes": business.get("grace_period_minutes"),
             "zero_tolerance": checks.get("zero_tolerance_critical"),
             "missing_schedule_limit": checks.get("missing_schedule_percentage_threshold"),

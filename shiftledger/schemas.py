@@ -66,6 +66,7 @@ TIMESHEET_FIELDS = {
 # do the work of a serial row id without a global numbering.
 LINEAGE_FIELDS = {
     "source_file": T.StringType(),
+    "source_path": T.StringType(),
     "loaded_at": T.TimestampType(),
     "source_offset": T.LongType(),
     "source_row": T.LongType(),

@@ -25,10 +25,8 @@ from shiftledger.functions import without_null_tokens
 from shiftledger.rules import Rules
 from shiftledger.schemas import LINEAGE_FIELDS
 
-# More fields than this in one line are all reported as this many.
-FIELD_COUNT_CEILING = 10_000
-
-_FILES = "path string, source_file string"
+_FILES = "path string, source_file string, length long, modified timestamp"
+_FILE_KEY = ["path", "length", "modified"]
 _REJECTS = "path string, source_file string, reason string"
 _UNKNOWN = "source_file string, column_name string"
 _CORRUPT = "_corrupt_record"
@@ -41,12 +39,14 @@ class Intake(NamedTuple):
     rejects: DataFrame  # files refused whole, with the reason
     unknown_columns: DataFrame  # file columns that the table does not have; dropped
     files_read: int
+    files: DataFrame  # the files read, as listed: path, source_file, length, modified
 
 
 class _File(NamedTuple):
     path: str
     header: str | None
     most_fields: int
+    all_fields: int
     multi_line: bool
     bad_bytes: bool
 
@@ -54,19 +54,33 @@ class _File(NamedTuple):
 def list_files(
     spark: SparkSession, folder: str, *, pattern: str = "*.csv", recursive: bool = False
 ) -> DataFrame:
-    """(path, source_file) of the matching files; contents are not read."""
-    reader = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", recursive)
+    """(path, source_file, length, modified) of the matching files; contents are not read."""
+    found = _listing(spark, folder, pattern, recursive)
+    if found is None:
+        return spark.createDataFrame([], _FILES)
+    return found.select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("source_file"), "length",
+        F.col("modificationTime").alias("modified"),
     )
+
+
+def _listing(spark: SparkSession, folder: str, pattern: str, recursive: bool) -> DataFrame | None:
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
     try:
-        found = reader.load(folder)
+        return reader.load(folder)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], _FILES)
-    return found.select("path", F.element_at(F.split("path", "/"), -1).alias("source_file"))
+        return None
+
+
+def _empty_files(spark: SparkSession, folder: str, pattern: str, recursive: bool) -> list[str]:
+    """Files without a byte, which no scan returns."""
+    found = _listing(spark, folder, pattern, recursive)
+    if found is None:
+        return []
+    filled = {_plain(row["path"]) for row in found.select("path").collect()}
+    return sorted(path for path in map(unquote, found.inputFiles()) if _plain(path) not in filled)
 
 
 def read_delimited(
@@ -83,34 +97,41 @@ def read_delimited(
 
     Columns are matched by name, so files may order or omit them differently.
     A file with a line longer than its header, a header without a known
-    column or with a repeated one, or bytes that are not valid text is refused
-    whole; the others go on. With ``loaded`` (a table with ``source_file``)
-    files named there are left out.
+    column or with a repeated one, bytes that are not valid text, or no line at all is
+    refused whole; the others go on. With ``loaded`` (path, length, modified)
+    files listed there are left out; a file that was replaced has another length or time.
     """
     files = list_files(spark, folder, pattern=pattern, recursive=recursive)
     if loaded is not None:
-        files = files.join(loaded.select("source_file").distinct(), "source_file", "left_anti")
-    paths = sorted(row["path"] for row in files.select("path").collect())
+        files = files.join(loaded.select(*_FILE_KEY), _FILE_KEY, "left_anti").select(*files.columns)
+    listed = {row["path"]: tuple(row) for row in files.collect()}
+    paths = sorted(listed)
 
-    groups: dict[tuple[tuple[str, ...], bool], list[str]] = defaultdict(list)
+    groups: dict[tuple[tuple[str, ...], bool], list[_File]] = defaultdict(list)
     rejects: list[tuple[str, str, str]] = []
     unknown: set[tuple[str, str]] = set()
-    for file in _inspect(spark, paths, rules):
+    inspected = _inspect(spark, paths, rules)
+    seen = {_plain(file.path) for file in inspected}
+    blank = [path for path in paths if _plain(path) not in seen] + _empty_files(spark, folder, pattern, recursive)
+    rejects += [(path, _base_name(path), "the file is empty") for path in blank]
+    for file in inspected:
         names = _header_names(file, rules)
         reason = _refusal(file, names, columns)
         if reason:
             rejects.append((file.path, _base_name(file.path), reason))
             continue
         unknown.update((_base_name(file.path), name) for name in names if name not in columns)
-        groups[tuple(names), file.multi_line].append(file.path)
+        groups[tuple(names), file.multi_line].append(file)
 
-    parts, files_read = [], 0
-    for (names, multi_line), group in groups.items():
+    parts, read = [], []
+    for (names, multi_line), held in groups.items():
+        group = [file.path for file in held]
         if multi_line:
-            long_files = _files_with_long_records(spark, group, names, rules)
+            widest = max(file.all_fields for file in held)
+            long_files = _files_with_long_records(spark, group, names, rules, widest)
             rejects += [(path, _base_name(path), "a line has more fields than the header") for path in long_files]
             group = [path for path in group if path not in long_files]
-        files_read += len(group)
+        read += group
         if group:
             parts.append(_load(spark, group, names, columns, rules, multi_line=multi_line))
     rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], _raw_schema(columns))
@@ -118,10 +139,18 @@ def read_delimited(
         rows,
         spark.createDataFrame(sorted(rejects), _REJECTS),
         spark.createDataFrame(sorted(unknown), _UNKNOWN),
-        files_read,
+        len(read),
+        spark.createDataFrame(
+            sorted(row for path, row in listed.items() if _plain(path) in {_plain(name) for name in read}), _FILES
+        ),
     )
 
 
+def _plain(path: str) -> str:
+    """A path without the scheme's slashes, which listing and scanning write differently."""
+    return re.sub(r"^([a-z0-9]+:)/+", r"\1/", path)
+
+
 def _raw_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType(
         [T.StructField(name, T.StringType()) for name in columns]
@@ -146,9 +175,11 @@ def _literal(path: str) -> str:
 def _outside_quotes(text: Column, rules: Rules) -> Column:
     """The text with quoted fields emptied, so that the delimiters left are real."""
     mark, quote = re.escape(rules.delimiter), re.escape(rules.quote)
-    quoted_field = rf"(^|{mark}){quote}(?:[^{quote}]|{quote}{quote})*{quote}"
+    # Doubled quotes go first: what is left needs no group under a star, which Java would recurse into.
+    single = F.replace(text, F.lit(rules.quote * 2), F.lit(""))
+    quoted_field = rf"(^|{mark}){quote}[^{quote}]*{quote}"
     return F.when(
-        F.contains(text, F.lit(rules.quote)), F.regexp_replace(text, quoted_field, "$1")
+        F.contains(text, F.lit(rules.quote)), F.regexp_replace(single, quoted_field, "$1")
     ).otherwise(text)
 
 
@@ -175,16 +206,19 @@ def _inspect(spark: SparkSession, paths: Sequence[str], rules: Rules) -> list[_F
     fields = _occurrences(outside, rules.delimiter) + 1
     # A quoted field that its line does not close; quotes inside a value do not count.
     left_open = outside.rlike(f"(^|{re.escape(rules.delimiter)}){re.escape(rules.quote)}")
-    # collect_set of a few numbers per file makes this a hash aggregation, which
+    # collect_set (of two values at most) makes this a hash aggregation, which
     # the text-valued min_by alone would not be; lines are never sorted.
     per_file = lines.groupBy("uri").agg(
         F.min_by("value", "first_block_line").alias("header"),
-        F.array_max(F.collect_set(F.least(fields, F.lit(FIELD_COUNT_CEILING)))).alias("most_fields"),
-        F.max(left_open).alias("multi_line"),
+        F.max(fields).alias("most_fields"),
+        F.sum(fields.cast("long")).alias("all_fields"),
+        F.array_contains(F.collect_set(left_open), True).alias("multi_line"),
         F.max(~F.is_valid_utf8("value")).alias("bad_bytes"),
     )
     found = [
-        _File(unquote(row["uri"]), row["header"], row["most_fields"], row["multi_line"], row["bad_bytes"])
+        _File(
+            unquote(row["uri"]), row["header"], row["most_fields"], row["all_fields"], row["multi_line"], row["bad_bytes"]
+        )
         for row in per_file.collect()
     ]
     return sorted(found)
@@ -206,7 +240,8 @@ def _refusal(file: _File, names: Sequence[str], columns: Sequence[str]) -> str |
     return None
 
 
-def _reader(spark: SparkSession, rules: Rules, *, multi_line: bool):
+def _reader(spark: SparkSession, rules: Rules, *, multi_line: bool, widest: int):
+    """``widest``: the most fields that a record of the files can have."""
     return (
         spark.read.option("header", True)
         .option("sep", rules.delimiter)
@@ -214,7 +249,7 @@ def _reader(spark: SparkSession, rules: Rules, *, multi_line: bool):
         .option("escape", rules.quote)
         .option("encoding", rules.encoding)
         .option("multiLine", multi_line)
-        .option("maxColumns", FIELD_COUNT_CEILING * 2)
+        .option("maxColumns", widest + 1)
     )
 
 
@@ -233,7 +268,7 @@ def _load(
     multi_line: bool,
 ) -> DataFrame:
     source = (
-        _reader(spark, rules, multi_line=multi_line)
+        _reader(spark, rules, multi_line=multi_line, widest=len(names))
         .schema(T.StructType(_positional(names)))
         .csv([_literal(path) for path in paths])
     )
@@ -247,6 +282,7 @@ def _load(
     return source.select(
         *[text(name) for name in columns],
         _decoded(F.col("_metadata.file_name")).alias("source_file"),
+        _decoded(F.col("_metadata.file_path")).alias("source_path"),
         F.lit(rules.stamp).cast("timestamp").alias("loaded_at"),
         F.col("_metadata.file_block_start").alias("source_offset"),
         F.monotonically_increasing_id().alias("source_row"),
@@ -254,12 +290,12 @@ def _load(
 
 
 def _files_with_long_records(
-    spark: SparkSession, paths: Sequence[str], names: Sequence[str], rules: Rules
+    spark: SparkSession, paths: Sequence[str], names: Sequence[str], rules: Rules, widest: int
 ) -> set[str]:
     """Files with quoted line breaks in which a record has more fields than the header."""
     layout = [*_positional(names), T.StructField(_CORRUPT, T.StringType())]
     source = (
-        _reader(spark, rules, multi_line=True)
+        _reader(spark, rules, multi_line=True, widest=widest)
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .schema(T.StructType(layout))
         .csv([_literal(path) for path in paths])

@@ -36,6 +36,7 @@ class Layers:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self.written: dict[str, str | None] = {}  # the last load of each table by this object
 
     def _live_paths(self, table: str) -> list[str]:
         try:
@@ -44,11 +45,10 @@ class Layers:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return []
-        live: list[str] = []
-        for row in log.where(F.col("table") == table).orderBy("seq").collect():
-            added = [row["path"]] if row["path"] else []
-            live = added if row["replaces"] else live + added
-        return live
+        own = log.where(F.col("table") == table)
+        last = own.where("replaces").agg(F.max("seq").alias("seq")).first()["seq"]
+        since = own if last is None else own.where(F.col("seq") >= last)
+        return [row["path"] for row in since.where(F.col("path").isNotNull()).orderBy("seq").collect()]
 
     def _folder(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
@@ -70,6 +70,41 @@ class Layers:
         columns = [*schema.fieldNames(), *(["month"] if table in MONTHLY else [])]
         return self._scan(table, paths, schema).select(*columns)
 
+    def read_written(self, table: str) -> DataFrame:
+        """The rows that this object loaded last; empty if it loaded none."""
+        schema, path = TABLES[table], self.written.get(table)
+        if path is None:
+            return self.spark.createDataFrame([], schema)
+        return self._scan(table, [path], schema).select(*schema.fieldNames())
+
+    def loaded_files(self, table: str) -> DataFrame | None:
+        """(path, source_file, length, modified) of the files in the committed loads, None before the first."""
+        folders = [f"{self.root}/files/{table}/{path.split('/load=')[1].split('/')[0]}" for path in self._live_paths(table)]
+        try:
+            return self.spark.read.parquet(*folders) if folders else None
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def set_aside(self, bad: DataFrame, table: str) -> int:
+        """Adds rows with the rules they break to the quarantine, unless they are there; returns how many."""
+        schema = T.StructType([*TABLES[table].fields, T.StructField(BROKEN, T.ArrayType(T.StringType()))])
+        rows = bad.select(*[
+            (F.col(f.name) if f.name in bad.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+        ])
+        held = self.quarantined(table)
+        if held is not None:
+            own = [f.name for f in schema if f.name not in ("created_at", "updated_at", "loaded_at")]
+            left, right = rows.withColumn("_key", F.to_json(F.struct(*own))), held.select(F.to_json(F.struct(*own)).alias("_key"))
+            rows = left.join(right, "_key", "left_anti").drop("_key")
+        path = f"{self._folder(table)}/load=run{uuid.uuid4().hex}/quarantined=true"
+        rows.write.parquet(path)
+        count = self.spark.read.schema(schema).parquet(path).count()
+        if count:
+            self._commit(f"quarantine.{table}", path, replaces=False)
+        return count
+
     def _scan(self, table: str, paths: list[str], schema: T.StructType) -> DataFrame:
         """Folders of one table; below its folder lie load, quarantined and perhaps month."""
         return self.spark.read.schema(schema).option("basePath", self._folder(table)).parquet(*paths)
@@ -83,6 +118,7 @@ class Layers:
         return self._scan(table, paths, schema).select(*schema.fieldNames())
 
     def append(self, df: DataFrame, table: str, **options) -> dict[str, int]:
+        """Adds a load; with ``files`` (see ``loaded_files``) it also records the files it came from."""
         return self._write(df, table, replaces=False, **options)
 
     def replace(self, df: DataFrame, table: str, **options) -> dict[str, int]:
@@ -95,13 +131,14 @@ class Layers:
         *,
         replaces: bool,
         on_violation: str = "fail",
+        files: DataFrame | None = None,
     ) -> dict[str, int]:
         """Writes, audits and commits; returns the number of rows and of broken rules.
 
         The audit reads back what was written (only the columns the rules name),
         so it sees what readers will see, whatever tasks were repeated. ``fail``
         drops a bad load by not committing it; ``quarantine`` commits good and
-        bad rows apart.
+        bad rows apart, bad rows only if they are not in quarantine yet.
         """
         rules = ROW_RULES.get(table, [])
         load = f"{self._folder(table)}/load=run{uuid.uuid4().hex}"
@@ -135,10 +172,13 @@ class Layers:
             raise ConstraintViolation(table, broken)
         bad_rows = counts.pop("quarantined", 0)
         if bad_rows:
-            self._commit(f"quarantine.{table}", bad, replaces=False)
+            self.set_aside(self._scan(table, [bad], layout), table)
+        if files is not None:
+            files.write.parquet(f"{self.root}/files/{table}/{load.split('/load=')[1]}")
         good_rows = counts["rows"] - bad_rows
         if good_rows or replaces:
             self._commit(table, good if good_rows else None, replaces=replaces)
+        self.written[table] = good if good_rows else None
         return {**counts, "rows": good_rows}
 
     def _conform(self, df: DataFrame, table: str) -> DataFrame:

@@ -79,7 +79,7 @@ def test_bad_files_are_refused_whole(spark, tmp_path):
     found = intake(spark, tmp_path)
     assert rows(found.rows, "client_employee_id") == [("1",)]
     assert [name for name, in rows(found.rejects, "source_file")] == [
-        "bytes.csv", "long.csv", "long_quoted.csv", "other.csv", "twice.csv",
+        "bytes.csv", "empty.csv", "long.csv", "long_quoted.csv", "other.csv", "twice.csv",
     ]
 
 
@@ -96,7 +96,7 @@ def test_folders(spark, tmp_path):
 def test_no_files(spark, tmp_path, folder):
     found = intake(spark, tmp_path / folder)
     assert found.rows.count() == 0 and found.files_read == 0
-    assert found.rows.columns == [*COLUMNS, "source_file", "loaded_at", "source_offset", "source_row"]
+    assert found.rows.columns == [*COLUMNS, "source_file", "source_path", "loaded_at", "source_offset", "source_row"]
 
 
 def test_row_position_follows_the_file_across_splits(spark, tmp_path):
@@ -126,6 +126,40 @@ def test_only_new_files(spark, tmp_path):
     assert layers.read("raw.employee_raw").count() == 4
 
 
+def test_long_quoted_fields(spark, tmp_path):
+    long, doubled = "x" * 5_000, '""' * 100_000
+    put(tmp_path, "q.csv", f'client_employee_id|first_name|last_name\n1|"{long}"|a\n2|"{"y|" * 500_000}"|"{doubled}"\n3|""""|b\n')
+    found = intake(spark, tmp_path)
+    assert rows(found.rows, "client_employee_id", "first_name", "last_name") == [
+        ("1", long, "a"), ("2", "y|" * 500_000, '"' * 100_000), ("3", '"', "b"),
+    ]
+    put(tmp_path, "r.csv", f'client_employee_id|first_name\n1|"{long}"|"{doubled}"\n')
+    assert rows(intake(spark, tmp_path).rejects, "source_file") == [("r.csv",)]
+
+
+def test_wide_files_do_not_stop_the_others(spark, tmp_path):
+    put(tmp_path, "good.csv", "client_employee_id\n1\n")
+    header = "client_employee_id" + "".join(f"|c{n}" for n in range(10_000))
+    put(tmp_path, "wide.csv", f"{header}\n2{'|' * 10_010}\n")
+    put(tmp_path, "wide_breaks.csv", f'{header}\n3|"a\nb"{"|" * 30_000}\n')
+    put(tmp_path, "wide_good.csv", f"{header}\n4{'|' * 10_000}\n")
+    found = intake(spark, tmp_path)
+    assert rows(found.rows, "client_employee_id") == [("1",), ("4",)]
+    assert rows(found.rejects, "source_file") == [("wide.csv",), ("wide_breaks.csv",)]
+
+
+def test_new_files_are_told_by_path_and_change(spark, tmp_path):
+    layers = Layers(spark, new_folder(spark, "layers"))
+    load = dict(columns=list(EMPLOYEE_FIELDS), rules=RULES, recursive=True, mode="new_files")
+    for month, text in (("2024/01", "1"), ("2024/02", "22"), ("2024/01", "333")):  # the last replaces the first
+        put(tmp_path, f"{month}/punches.csv", f"client_employee_id\n{text}\n")
+        load_raw(layers, "raw.employee_raw", str(tmp_path), **load)
+        assert rows(layers.read_written("raw.employee_raw"), "client_employee_id") == [(text,)]
+    assert rows(layers.read("raw.employee_raw"), "client_employee_id") == [("1",), ("22",), ("333",)]
+    paths = {row["source_path"] for row in layers.read("raw.employee_raw").collect()}
+    assert len(paths) == 2 and all(path.endswith("punches.csv") for path in paths)
+
+
 # --- layer tables and the full run -----------------------------------------------------
 
 
@@ -153,6 +187,8 @@ def test_quarantine_keeps_good_rows(spark):
     layers.replace(staged(spark, 1, -2, 3), table, on_violation="quarantine")
     assert rows(layers.read(table), "client_employee_id") == [("E0",), ("E2",)]
     assert rows(layers.quarantined(table), "client_employee_id", "broken_rules") == [("E1", ["hours_worked_not_negative"])]
+    layers.replace(staged(spark, 1, -2), table, on_violation="quarantine")  # the same bad row again
+    assert layers.read(table).count() == 1 and layers.quarantined(table).count() == 1
     layers.replace(staged(spark, -1), table, on_violation="quarantine")
     assert layers.read(table).count() == 0 and layers.quarantined(table).count() == 2
 
@@ -208,7 +244,7 @@ def test_refresh_twice_gives_the_same_tables(spark, sources):
         ("E1", 8.0, True, date(2022, 1, 1)), ("X7", 4.5, None, date(2022, 2, 1)),
     ]
     assert rows(first.junk_ids, "client_employee_id", "rows") == [("1111", 1), (None, 1)]
-    assert set(first.report_paths) == {"md", "html", "json"}
+    assert set(first.report_paths) == {"md", "json"}
 
     second = run(spark, sources, root)
     assert second.layers.read("raw.timesheet_raw").count() == 10
@@ -252,6 +288,44 @@ def test_refresh_stops_or_quarantines(spark, sources):
     assert kept.layers.quarantined("curated.timesheet").count() == 2
 
 
+def test_quarantine_keeps_the_stored_employee(spark, sources):
+    root = new_folder(spark, "run")
+    run(spark, sources, root, mode="new_files", on_violation="quarantine")
+    bad = "client_employee_id|first_name|last_name|hire_date|term_date\nE1|Ann|Bad|2020-01-05|2019-01-01\nE9|New|Bad|2020-01-05|2019-01-01\n"
+    put(sources, "employees/b.csv", bad)
+    put(sources, "timesheets/u.csv", PUNCHES.splitlines()[0] + "\nE9|8|2022-03-03|2022-03-03 09:00|2022-03-03 17:00||\n")
+    for _ in range(2):
+        kept = run(spark, sources, root, mode="new_files", on_violation="quarantine")
+    stored = {row["client_employee_id"]: row["last_name"] for row in kept.layers.read("curated.employee").collect()}
+    assert stored["E1"] == "Lee" and "E9" not in stored
+    assert rows(kept.layers.quarantined("curated.employee"), "client_employee_id") == [("E1",), ("E9",)]
+    assert rows(kept.layers.quarantined("curated.timesheet"), "client_employee_id", "broken_rules") == [("E9", ["client_employee_id_known"])]
+    put(sources, "employees/c.csv", bad.replace("2019-01-01", "2021-01-01"))
+    last = run(spark, sources, root, mode="new_files", on_violation="quarantine")
+    assert ("E9",) in rows(last.layers.read("curated.timesheet"), "client_employee_id")
+
+
+def test_missing_punch_times_are_loaded_once(spark, sources):
+    put(sources, "timesheets/t.csv", PUNCHES + "E1|3|2022-05-05||||\n")
+    for options in ({}, {"only_this_load": True}):
+        root = new_folder(spark, "run")
+        for _ in range(2):
+            done = run(spark, sources, root, mode="new_files", **options)
+        assert done.layers.read("curated.timesheet").count() == 3
+
+
+def test_later_run_of_a_day_wins(spark, sources):
+    root, rules = new_folder(spark, "run"), Rules(as_of=date(2024, 5, 1))
+    put(sources, "employees/z1.csv", "client_employee_id|first_name\nE5|Bo\n")
+    paths = set()
+    for name in ("Bo", "Bob"):
+        put(sources, "employees/a2.csv" if name == "Bob" else "employees/z1.csv", f"client_employee_id|first_name\nE5|{name}\n")
+        done = refresh(spark, root, str(sources / "employees"), str(sources / "timesheets"), rules, mode="new_files")
+        paths.add(done.report_paths["md"])
+    assert len(paths) == 2
+    assert [row["first_name"] for row in done.layers.read("curated.employee").where("client_employee_id = 'E5'").collect()] == ["Bob"]
+
+
 def test_refresh_without_files(spark, tmp_path):
     with_nothing = run(spark, tmp_path, new_folder(spark, "run"))
     assert with_nothing.layers.read("curated.employee").count() == 0
