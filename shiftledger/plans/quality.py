@@ -145,12 +145,12 @@ def check_details(
 
 
 def run_checks(
-    employees: DataFrame, timesheets: DataFrame, rules: Rules, run_id: str | None = None
+    employees: DataFrame, timesheets: DataFrame, rules: Rules, run_id: str | None = None, *, shown: int = SHOWN_DETAILS
 ) -> DataFrame:
     """Evaluates all checks and, for failed ones, lists the first findings."""
     run_id = run_id or uuid.uuid4().hex
     metrics = check_metrics(employees, timesheets, rules).collect()
-    details = _details_of([row["check_name"] for row in metrics if not row["passed"]], employees, timesheets)
+    details = _details_of([row["check_name"] for row in metrics if not row["passed"]], employees, timesheets, shown)
     results = [
         (run_id, rules.stamp, row["check_name"], row["severity"], row["passed"], row["metric_value"],
          details.get(row["check_name"]))
@@ -159,12 +159,12 @@ def run_checks(
     return employees.sparkSession.createDataFrame(results, CHECK_RESULTS)
 
 
-def _details_of(checks: Sequence[str], employees: DataFrame, timesheets: DataFrame) -> dict[str, str]:
+def _details_of(checks: Sequence[str], employees: DataFrame, timesheets: DataFrame, shown: int) -> dict[str, str]:
     """The first findings of several checks, joined per check, from one job."""
     listed = [
         found.withColumn("check_name", F.lit(check))
         for check in checks
-        if (found := check_details(check, employees, timesheets)) is not None
+        if (found := check_details(check, employees, timesheets, limit=shown)) is not None
     ]
     if not listed:
         return {}

@@ -15,7 +15,9 @@ from shiftledger.functions import (
     strip_text,
     without_null_tokens,
 )
-from shiftledger.rules import KNOWN_JUNK_IDS, READER_NULL_TOKENS, Rules
+from shiftledger.plans.clean import typed, unreadable
+from shiftledger.rules import DATE_FORMATS, KNOWN_JUNK_IDS, READER_NULL_TOKENS, Rules
+from shiftledger.schemas import TIMESHEET_FIELDS
 
 
 def evaluate(spark, values, function, kind="string"):
@@ -105,3 +107,28 @@ def test_rules_from_config():
     assert rules.placeholder_limit == 60 and rules.missing_schedule_limit == 10
     assert "-" in rules.null_tokens and "[NULL]" not in rules.null_tokens
     assert Rules(as_of=date(2024, 1, 1)).grace_minutes == 5
+
+
+def test_other_date_formats(spark):
+    cases = {
+        "01/15/2024 08:05 AM": datetime(2024, 1, 15, 8, 5), "2024-01-15T08:00:00Z": datetime(2024, 1, 15, 8),
+        "2024-01-15 08:00:00+00:00": datetime(2024, 1, 15, 8), "20240115": datetime(2024, 1, 15),
+        "15-Jan-2024": datetime(2024, 1, 15), "1/5/24": datetime(2024, 1, 5), "1/5/70": datetime(1970, 1, 5),
+        "2024-01-15 08:00:00-0530": datetime(2024, 1, 15, 13, 30), "January 5, 2024 12:05 am": datetime(2024, 1, 5, 0, 5),
+        "20240115T235959": datetime(2024, 1, 15, 23, 59, 59), " 5 May 2024 ": datetime(2024, 5, 5), "2024": None,
+        "13/45/2024": None, "2024-02-30 9:00": None, "15-Foo-2024": None, "2024-01-15 13:00 PM": None, "": None, None: None,
+        "2024-1-5 7:05": datetime(2024, 1, 5, 7, 5),
+    }
+    assert evaluate(spark, list(cases), lambda c: parse_timestamp(c, DATE_FORMATS)) == list(cases.values())
+    days = [value and value.date() for value in cases.values()]
+    assert evaluate(spark, list(cases), lambda c: parse_date(c, DATE_FORMATS)) == days
+    own = ((r"(\d{2})\.(\d{2})\.(\d{4})", "$3-$2-$1"),)
+    assert evaluate(spark, ["15.01.2024", "20240115"], lambda c: parse_date(c, own)) == [date(2024, 1, 15), None]
+
+
+def test_unreadable_texts_are_counted(spark):
+    raw = spark.createDataFrame(
+        [("1", "8", "2024-01-02"), ("2", "x", "soon"), ("3", " ", None)], "client_employee_id string, hours_worked string, punch_apply_date string"
+    )
+    found = unreadable(raw, typed(raw, TIMESHEET_FIELDS, DATE_FORMATS), TIMESHEET_FIELDS).collect()
+    assert {tuple(row) for row in found} == {("hours_worked", 2, 1), ("punch_apply_date", 2, 1)}
