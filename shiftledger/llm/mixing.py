@@ -56,13 +56,13 @@ def fill(rows: DataFrame, within: list[str], order: list[Column], cap: str, weig
 
 
 def rate(docs: DataFrame, text: str, doc_id: str, source: str) -> DataFrame:
-    """The documents with a size, an intensity and a uniform draw."""
+    """The documents (whole rows in ``mix_held``) with a size, an intensity and a uniform draw."""
     words = F.coalesce(F.regexp_count(docs[text].cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     own = docs[doc_id].cast("string")
     key = F.coalesce(own, F.concat(F.lit("text "), F.md5(F.coalesce(docs[text].cast("string"), F.lit("")).cast("binary"))))
     drawn = F.conv(F.substring(F.md5(F.concat(F.lit("mix:"), key).cast("binary")), 1, 13), 16, 10).cast("double")
     return docs.select(
-        "*", docs[source].cast("string").alias("mix_source"), docs[doc_id].cast("long").alias("mix_id"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("mix_held"), docs[source].cast("string").alias("mix_source"), docs[doc_id].cast("long").alias("mix_id"),
         F.monotonically_increasing_id().alias("mix_row"), words.alias("mix_size"), intensity(words).alias("mix_intensity"),
         ((drawn + F.lit(0.5)) / F.lit(float(1 << 52))).alias("mix_u"),
     )
@@ -154,7 +154,7 @@ def with_copies(
         | ((F.col("bin") == F.col("edge_bin")) & F.coalesce(self <= F.col("last"), F.lit(False)))
     )
     return ranked.join(cuts, F.col("mix_source").eqNullSafe(F.col("edge_source")), "left").select(
-        *docs.columns, "mix_size", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
+        *[F.col("mix_held")[c].alias(c) for c in docs.columns], "mix_size", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
         F.when(F.col("mix_size") > 0, F.floor("copies") + taken.cast("long")).otherwise(F.lit(0)).cast("long").alias("mix_copies"),
     )
 
@@ -162,5 +162,10 @@ def with_copies(
 def mixed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", **options) -> DataFrame:
     """The mixture itself: each document as often as it is taken."""
     columns = docs.columns
-    found = with_copies(docs, text, doc_id, source, **options).filter("mix_copies > 0")
-    return found.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), "mix_copies"))).select(*columns)
+    held = docs.select(
+        docs[text].alias("text"), docs[doc_id].alias("doc_id"), docs[source].alias("source"),
+        F.struct(*[docs[c] for c in columns]).alias("held"),
+    )
+    found = with_copies(held, **options).filter("mix_copies > 0")
+    found = found.select("held", F.explode(F.sequence(F.lit(1).cast("long"), "mix_copies")))
+    return found.select(*[F.col("held")[c].alias(c) for c in columns])

@@ -75,6 +75,16 @@ def test_short_documents_are_taken_less(spark):
     assert means[0] == pytest.approx(means[1] / 2, rel=0.1)
 
 
+def test_clashing_columns(spark):
+    made = [(i, "w " * (60 + i % 7), "ab"[i % 2], "t", i, i, 0) for i in range(50)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string, target string, copies long, mix_size long, bin long")
+    held = mixed(docs)
+    assert held.columns == docs.columns and {(r.target, r.copies == r.mix_size) for r in held.collect()} == {("t", True)}
+    plain = docs.drop("mix_size")
+    assert with_copies(plain).columns == [*plain.columns, "mix_size", "mix_source_size", "mix_target", "mix_copies"]
+    assert with_copies(plain).filter("target = 't'").count() == 50
+
+
 def test_repeated_rows_and_no_rows(spark):
     made = [(5, "w " * 100, "en", "a", 1)] * 60 + [(i, "w " * 100, "en", "b", 1) for i in range(40)]
     found = with_copies(spark.createDataFrame(made, DOCS)).collect()
