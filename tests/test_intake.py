@@ -307,11 +307,10 @@ def test_quarantine_keeps_the_stored_employee(spark, sources):
 
 def test_missing_punch_times_are_loaded_once(spark, sources):
     put(sources, "timesheets/t.csv", PUNCHES + "E1|3|2022-05-05||||\n")
-    for options in ({}, {"only_this_load": True}):
-        root = new_folder(spark, "run")
-        for _ in range(2):
-            done = run(spark, sources, root, mode="new_files", **options)
-        assert done.layers.read("curated.timesheet").count() == 3
+    root = new_folder(spark, "run")
+    for _ in range(2):
+        done = run(spark, sources, root)
+    assert done.layers.read("curated.timesheet").count() == 3
 
 
 def test_later_run_of_a_day_wins(spark, sources):
