@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over the documents, each written as Parquet and read again by the next.
 
 Every stage takes (spark, docs, data folder) and works on all rows that its predecessor kept. All but the
-last return the columns of ``documents``; the last returns the pieces of the packed sequences.
+last return the columns of ``documents``; the last returns the packed sequences with their token ids, from buckets of one length each.
 SQL cannot express the classifier, so there is no ORACLE_SQL; a brute-force version is in the tests.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shiftledger.llm.exact_dedup import drop_exact_copies
 from shiftledger.llm.mixing import mixed
 from shiftledger.llm.near_join import drop_near_copies
-from shiftledger.llm.packing import pack
+from shiftledger.llm.packing import pack, read_buckets, write_buckets
 from shiftledger.llm.quality import keep_good
 from shiftledger.llm.queries import table, tokenizer_path
 from shiftledger.session import new_folder
@@ -35,7 +35,9 @@ def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return pack(docs, tokenizer_path(), with_ids=False).drop("ids")
+    buckets = new_folder(spark, "buckets")
+    write_buckets(pack(docs, tokenizer_path()), buckets)
+    return read_buckets(spark, buckets)
 
 
 STAGES = [

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftledger.llm.blocks import Hasher, blocks, ink, lowered, spans
@@ -173,24 +173,25 @@ def _piece_rows(
         docs = batch.column(0)
         for low, high, data, offsets in blocks(batch.column(1)):
             ids, borders = chunked(data, offsets)
-            lengths, starts, crcs, totals, owners, cut = [], [], [], [], [], []
-            for row in range(high - low):
-                own = np.append(ids[borders[row] : borders[row + 1]], np.uint32(end_id)).astype("<u4")
-                raw, at = memoryview(own.tobytes()), 0
-                for length in piece_lengths(len(own), longest):
+            ids = np.insert(ids, borders[1:], end_id).astype("<i4")  # the pieces in order are all ids in order
+            raw, at = memoryview(ids.tobytes()), 0
+            lengths, starts, crcs, totals, owners = [], [], [], [], []
+            for row, tokens in enumerate(np.diff(borders) + 1):
+                start = 0
+                for length in piece_lengths(int(tokens), longest):
                     lengths.append(length)
-                    starts.append(at)
+                    starts.append(start)
                     crcs.append(zlib.crc32(raw[4 * at : 4 * (at + length)]))
-                    totals.append(len(own))
+                    totals.append(tokens)
                     owners.append(row)
-                    if with_ids:
-                        cut.append(own[at : at + length].astype(np.int32))
+                    start += length
                     at += length
+            cut = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 docs.slice(low, high - low).take(pa.array(owners, pa.int64())),
                 pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64()),
                 pa.array(totals, pa.int64()),
-                pa.array(cut, pa.list_(pa.int32())) if with_ids else pa.nulls(len(owners), pa.list_(pa.int32())),
+                pa.ListArray.from_arrays(pa.array(cut), pa.array(ids, pa.int32())) if with_ids else pa.nulls(len(owners), pa.list_(pa.int32())),
             ], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
 
@@ -232,3 +233,10 @@ def pack(
 def write_buckets(pieces: DataFrame, folder: str) -> None:
     """Writes the sequences with one subfolder per length, so that a reader takes batches of equal length."""
     pieces.write.partitionBy("length").mode("overwrite").parquet(folder)
+
+
+def read_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """The sequences of all buckets, with the columns of ``pack``; every file holds one length."""
+    kinds = f"{PIECE.removesuffix(', ids array<int>')}, sequence_id long, offset long, ids array<int>"
+    held = spark.read.schema(kinds).parquet(folder)
+    return held.select(*[c.split()[0] for c in kinds.split(", ")])

@@ -69,7 +69,7 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return pack(table(spark, folder, "documents"), tokenizer_path(), with_ids=False).drop("ids")
+    return pack(table(spark, folder, "documents"), tokenizer_path())
 
 
 def op8_chat(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from shiftledger.llm.packing import pack, piece_lengths, write_buckets
+import corpus_pipeline
+from shiftledger.llm import queries
+from shiftledger.llm.packing import pack, piece_lengths, read_buckets, write_buckets
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -56,3 +58,31 @@ def test_empty_table_and_buckets(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b c", "x")], "doc_id long, text string, length string")
     write_buckets(pack(docs, PATH), str(tmp_path / "buckets"))
     assert [r.length for r in spark.read.parquet(str(tmp_path / "buckets")).collect()] == [4]
+
+
+def test_the_query_and_the_pipeline_return_the_ids(spark, data_folder):
+    direct = Tokenizer.from_file(PATH)
+    docs = spark.read.parquet(f"{data_folder}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    packed = corpus_pipeline.packed(spark, docs, data_folder)
+    for found in (queries.op7_packing(spark, data_folder), packed):
+        assert found.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+        assert found.schema.fields[2].dataType.simpleString() == "bigint"
+        rows = found.collect()
+        assert {r.doc_id for r in rows} == set(texts) and len({r.sequence_id for r in rows}) == len(rows)
+        for r in rows:
+            ids = [*direct.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 1]
+            assert list(r.ids) == ids[r.start : r.start + r.length] and len(r.ids) == r.length
+            assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+    lengths = {}
+    for r in packed.select("length", "_metadata.file_path").distinct().collect():
+        assert lengths.setdefault(r.file_path, r.length) == r.length and f"/length={r.length}/" in r.file_path
+    assert corpus_pipeline.packed(spark, docs.limit(0), data_folder).collect() == []
+
+
+def test_buckets_are_read_as_they_were_packed(spark, tmp_path):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
+    pieces = pack(docs, PATH)
+    write_buckets(pieces, str(tmp_path / "some"))
+    found = read_buckets(spark, str(tmp_path / "some"))
+    assert found.dtypes == pieces.dtypes and sorted(found.collect()) == sorted(pieces.collect())
