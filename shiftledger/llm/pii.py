@@ -12,7 +12,10 @@ corpus get one surrogate. A surrogate is drawn from a keyed SHA-256 of both:
 * name: a given and a family name of the title's gender and the name's script, in the case of the mention.
 
 Collision checks: the distinct entities of the corpus draw together; where two draw the same
-surrogate, or one that is itself an entity of the corpus, all but one draw again until all are distinct. The
+surrogate, or one that is itself an entity of the corpus, all but one draw again until all are distinct. Each
+attempt draws from a larger space, so that the rounds end for any number of entities: a family name gets a syllable more,
+an e-mail's local part two letters more, numbers from the fourth draw on a digit more each; addresses
+are drawn from 240.0.0.0 to 254.255.255.255, then from the documentation range 2001:db8::/32. The
 table of entities is joined to the mentions by shuffle, never broadcast by force.
 """
 
@@ -120,8 +123,13 @@ def _choice(values: tuple[str, ...], at: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), at % len(values))
 
 
-def _name(canonical: Column, drawn: Column) -> Column:
-    """Given and family name; one part where the mention has one."""
+def _choices(values: tuple[str, ...], drawn: Column, first: Column, last: Column, between: str) -> Column:
+    """Values drawn by the bytes from ``first`` to ``last``, joined."""
+    return F.array_join(F.transform(F.sequence(first, last), lambda i: _choice(values, _byte(drawn, i))), between)
+
+
+def _name(canonical: Column, drawn: Column, attempt: Column) -> Column:
+    """Given and family name; one part where the mention has one. Each attempt has a syllable more."""
     title, rest = F.split(canonical, " ", 2)[0], F.split(canonical, " ", 2)[1]
     gender = F.lit("n")
     for g in ("m", "f"):
@@ -131,35 +139,49 @@ def _name(canonical: Column, drawn: Column) -> Column:
     for (g, s), names in GIVEN.items():
         given = F.when((gender == g) & (script == s), _choice(names, _byte(drawn, 0))).otherwise(given)
     for s, syllables in SYLLABLES.items():
-        built = F.initcap(F.concat(*[_choice(syllables, _byte(drawn, i)) for i in range(1, 5)]))
+        built = F.initcap(_choices(syllables, drawn, F.lit(1), attempt + 4, ""))
         family = F.when(script == s, built).otherwise(family)
     return F.when(rest.contains(" "), F.concat_ws(" ", given, family)).otherwise(family)
 
 
 def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Column:
-    """The canonical form of the surrogate at an attempt."""
+    """The canonical form of the surrogate at an attempt; later attempts draw from a larger space."""
     drawn = _draw(key, kind, canonical, attempt)
     local, domain = F.split(canonical, "@", 2)[0], F.split(canonical, "@", 2)[1]
     host, top = F.regexp_extract(domain, r"^(.*)(\.[^.]*)$", 1), F.regexp_extract(domain, r"^(.*)(\.[^.]*)$", 2)
-    email = F.concat(_changed(local, drawn), F.lit("@"), _changed(host, _draw(key, F.lit("domain"), domain)), top)
-    ipv4 = F.concat_ws(".", F.lit("10"), *[_byte(drawn, i).cast("string") for i in range(3)])
-    card = _luhn(_digits(drawn, F.length(canonical), F.substring(canonical, 1, 1)))
+    letters = _changed(F.repeat(F.lit("a"), attempt * 2), _draw(key, F.lit("letters"), canonical, attempt))
+    email = F.concat(_changed(local, drawn), letters, F.lit("@"), _changed(host, _draw(key, F.lit("domain"), domain)), top)
+    octets = [_byte(drawn, i).cast("string") for i in range(3)]
+    ipv4 = (
+        F.when(attempt == 0, F.concat_ws(".", F.lit("10"), *octets))
+        .when(attempt < 4, F.concat_ws(".", (240 + _byte(drawn, 3) % 15).cast("string"), *octets))
+        .otherwise(F.concat(F.lit("2001:db8"), *[F.concat(F.lit(":"), F.substring(drawn, 4 * i + 1, 4)) for i in range(6)]))
+    )
+    more = F.greatest(attempt - 2, F.lit(0))
+    card = _luhn(_digits(drawn, F.length(canonical) + more, F.substring(canonical, 1, 1)))
     code = F.when(canonical.startswith("+"), F.concat(F.split(canonical, " ", 2)[0], F.lit(" "))).otherwise("")
     number = F.regexp_replace(canonical, r"^\+\d+\x20", "")
-    phone = F.concat(code, _digits(drawn, F.length(number), (2 + _byte(drawn, 0) % 8).cast("string")))
-    ssn = _digits(drawn, F.lit(9), F.lit("9"))
+    phone = F.concat(code, _digits(drawn, F.length(number) + more, (2 + _byte(drawn, 0) % 8).cast("string")))
+    ssn = _digits(drawn, 9 + more, F.lit("9"))
     return (
         F.when(kind == "email", email).when(kind == "ipv4", ipv4).when(kind == "card", card)
-        .when(kind == "phone", phone).when(kind == "ssn", ssn).otherwise(_name(canonical, drawn))
+        .when(kind == "phone", phone).when(kind == "ssn", ssn).otherwise(_name(canonical, drawn, attempt))
     )
 
 
 def rendered(kind: Column, surface: Column, found: Column) -> Column:
-    """The surrogate in the form of the mention: its separators, its case, its title."""
-    drawn = F.split(found, "")
-    cased = F.array_join(F.transform(
-        F.split(surface, ""), lambda c, i: F.when(c != F.lower(c), F.upper(F.get(drawn, i))).otherwise(F.get(drawn, i))
-    ), "")
+    """The surrogate in the form of the mention: its separators, its case, its title.
+
+    Letters added to an address stand in small letters before the ``@``, added digits at the end.
+    """
+    own, at = F.split(surface, ""), F.instr(surface, "@") - 1
+    added = F.length(found) - F.length(surface)
+
+    def case(c: Column, i: Column) -> Column:
+        model = F.when(i < at, F.get(own, i)).when(i >= at + added, F.get(own, i - added))
+        return F.when(model != F.lower(model), F.upper(c)).otherwise(c)
+
+    cased = F.array_join(F.transform(F.split(found, ""), case), "")
     digits = F.split(F.regexp_replace(found, r"\D", ""), "")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
 
@@ -170,10 +192,13 @@ def rendered(kind: Column, surface: Column, found: Column) -> Column:
             F.concat(held["text"], F.when(digit, F.get(digits, held["at"])).otherwise(c)).alias("text"),
         )
 
-    numbered = F.aggregate(F.split(surface, ""), start, put)["text"]
+    numbered = F.aggregate(
+        F.split(surface, ""), start, put,
+        lambda held: F.concat(held["text"], F.array_join(F.slice(digits, held["at"] + 1, F.size(digits)), "")),
+    )
     title = F.regexp_extract(surface, r"^([^\x20]*\x20)", 1)
-    own = F.regexp_replace(surface, r"^[^\x20]*\x20", "")
-    named = F.concat(title, F.when((own == F.upper(own)) & (F.length(own) > 2), F.upper(found)).otherwise(found))
+    bare = F.regexp_replace(surface, r"^[^\x20]*\x20", "")
+    named = F.concat(title, F.when((bare == F.upper(bare)) & (F.length(bare) > 2), F.upper(found)).otherwise(found))
     return F.when(kind == "email", cased).when(kind == "ipv4", found).when(kind == "name", named).otherwise(numbered)
 
 

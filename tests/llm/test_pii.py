@@ -84,3 +84,29 @@ def test_long_text_with_many_mentions(spark):
     row = with_surrogates(clash, "k").collect()[0]
     assert row.n_entities == 3000 and "host" not in row.text and (row.pii_row, row.kind) == (9, "x")
     assert len(set(re.findall(r"\S+@\S+", row.text))) == len(set(re.findall(r"\S+@\S+", text)))
+
+
+def test_more_entities_than_first_surrogates(spark):
+    """Over 65,536 titled surnames, punctuation-only and one-letter locals, many short telephone numbers."""
+    surnames = spark.range(66_000).select(F.lit("name").alias("kind"), F.concat(F.lit("mr s"), F.col("id")).alias("canonical"))
+    locals_ = [*(f"{c}@mail.org" for c in "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿабвгд"), "...@mail.org", "_@mail.org", "-@mail.org"]
+    locals_ += [f"...@{a}.org" for a in "abcdefghijklmnopqrstuvwxyz"] + [f"_@{a}.org" for a in "abcdefghijklmnopqrstuvwxyz"]
+    rest = [("email", x) for x in locals_] + [("phone", f"+999 {i:03d}") for i in range(1000)]
+    entities = surnames.unionByName(spark.createDataFrame(rest, "kind string, canonical string"))
+    found = distinct_surrogates(entities, "k").collect()
+    assert len(found) == 66_000 + len(rest) == len({(r.kind, r.surrogate) for r in found})
+    assert not {(r.kind, r.surrogate) for r in found} & {(r.kind, r.canonical) for r in found}
+
+
+def test_addresses_leave_the_first_range(spark):
+    frame = spark.range(6).select(pii.surrogate("k", F.lit("ipv4"), F.lit("9.9.9.9"), F.col("id").cast("int")).alias("x"))
+    first, *reserved, _, last = [r.x for r in frame.collect()]
+    assert first.startswith("10.") and all(240 <= int(x.split(".")[0]) < 255 for x in reserved) and len(set(reserved)) == 3
+    assert re.fullmatch(r"2001:db8(:[0-9a-f]{4}){6}", last)
+
+
+def test_longer_surrogates_are_rendered_whole(spark):
+    rows = [("email", "A.B@Cd.org", "x.yqq@zw.org"), ("ssn", "123-45-6789", "9123456781"), ("phone", "+49 (743) 555-3824", "+49 23456789012")]
+    frame = spark.createDataFrame(rows, "kind string, surface string, found string")
+    found = [r[0] for r in frame.select(pii.rendered(F.col("kind"), F.col("surface"), F.col("found"))).collect()]
+    assert found == ["X.Yqq@Zw.org", "912-34-56781", "+49 (234) 567-89012"]
