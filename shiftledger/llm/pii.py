@@ -1,32 +1,41 @@
 """Personal data: detected entities get keyed surrogates of the same type and format.
 
 Only built-in DataFrame functions. One pattern finds e-mail addresses, IPv4 addresses, payment
-card numbers, telephone numbers, social security numbers and names after a title. An entity is known
+card numbers, telephone numbers, social security numbers and names after titles; in a text with such
+a name its parts are also replaced wherever else they stand as capitalized words. An entity is known
 by its kind and its canonical form (lower case, or digits only), so that all mentions in the
 corpus get one surrogate. A surrogate is drawn from a keyed SHA-256 of both:
 
 * e-mail: letters and digits change in place, punctuation, lengths and the top-level domain stay;
   a domain changes alike in all addresses;
 * IPv4: an address of 10.0.0.0/8; card: the first digit stays and the Luhn sum is right; telephone: the
-  country code and the grouping stay; social security: an area number that is never issued;
-* name: a given and a family name of the title's gender and the name's script, in the case of the mention.
+  country code and the grouping stay, and a number with ``+`` is known by its digits in any grouping; social security: an area number that is never issued;
+* name: given and family name are entities of their own, without the title, so that all mentions of a family
+  share one surrogate; a given name is drawn from those of the title's gender. Script and case are the mention's.
+  A single name after a title counts as a family name, unless the text has it as the given name of a full name.
+
+Not detected: names that no title introduces anywhere in the same text, parts of names in small letters, the
+third and later words of a name after a title; telephone numbers without ``+`` other than in groups of 2-4, 3-4 and 3-4 digits
+with separators; card and social security numbers with other separators; IPv6 and postal addresses, dates of birth, account numbers.
 
 Collision checks: the distinct entities of the corpus draw together; where two draw the same
 surrogate, or one that is itself an entity of the corpus, all but one draw again until all are distinct. Each
-attempt draws from a larger space, so that the rounds end for any number of entities: a family name gets a syllable more,
-an e-mail's local part two letters more, numbers from the fourth draw on a digit more each; addresses
+attempt draws from a larger space, so that the rounds end for any number of entities: a family name gets a syllable more, a given
+name is joined to another by a hyphen, an e-mail's local part two letters more, numbers from the fourth draw on a digit more each; addresses
 are drawn from 240.0.0.0 to 254.255.255.255, then from the documentation range 2001:db8::/32. The
 table of entities is joined to the mentions by shuffle, never broadcast by force.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftledger.session import new_folder
 
-KINDS = ("email", "ipv4", "card", "phone", "ssn", "name")
+KINDS = ("email", "ipv4", "card", "phone", "ssn", "given_m", "given_f", "given_n", "family")
 
 # Titles by gender, and names by gender and script, for surrogates.
 TITLES = {
@@ -52,14 +61,19 @@ SYLLABLES = {
 }
 _TITLE = "|".join(sorted((t for held in TITLES.values() for t in held), key=lambda t: (-len(t), t)))
 _EDGE, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+_WORD = r"\p{Lu}\p{L}*+(?:['’-](?![sS](?!\p{L}))\p{L}++)*+"  # a capitalized word without the 's of a genitive
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}.-]*[\p{L}\p{N}]\.\p{L}{2,}",
     "ipv4": r"(?<![\p{L}\p{N}.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\.?[\p{L}\p{N}])",
     "card": _EDGE + r"(?:\d{13,19}|\d{4}(?:[\x20-]\d{4}){3}|\d{4}[\x20-]\d{6}[\x20-]\d{5})" + _END,
     "ssn": _EDGE + r"\d{3}-\d{2}-\d{4}" + _END,
-    "phone": r"(?<![\p{L}\p{N}+.])(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)[\x20.-]?|\d{2,4}[\x20.-])\d{3,4}[\x20.-]\d{3,4}" + _END,
-    "name": _EDGE + rf"(?:{_TITLE})\.?\x20\p{{Lu}}[\p{{L}}'’-]*+(?:\x20\p{{Lu}}[\p{{L}}'’-]*+)?",
+    "phone": r"(?<![\p{L}\p{N}+.])(?:\+\(?\d(?:[\x20.()/-]{0,3}\d){6,14}" + _END + r"|(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)[\x20.-]?|\d{2,4}[\x20.-])\d{3,4}[\x20.-]\d{3,4}" + _END + ")",
+    "name": _EDGE + rf"(?:(?:{_TITLE})\.?\x20)+{_WORD}(?:\x20{_WORD})?",
 }
+TITLES_OF = rf"^((?:(?:{_TITLE})\.?\x20)+(?=\p{{Lu}}))"  # of a name's mention
+WORD = _EDGE + _WORD  # what may be part of a name
+CODE = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"  # E.164 country codes
+PARTS = "array<struct<text:string,surface:string,role:string,counts:boolean>>"
 PATTERN = "|".join(PATTERNS[k] for k in ("email", "ipv4", "card", "ssn", "phone", "name"))
 
 
@@ -72,12 +86,12 @@ def _kind(surface: Column) -> Column:
 
 
 def _canonical(kind: Column, surface: Column) -> Column:
+    digits = F.regexp_replace(surface, r"\D", "")
+    code = F.regexp_extract(digits, CODE, 1)
     return (
-        F.when(kind == "email", F.lower(surface)).when(kind == "ipv4", surface)
-        .when(kind == "name", F.lower(F.regexp_replace(surface, r"\.\x20", " ")))
-        .when(surface.startswith("+"), F.concat(F.lit("+"), F.regexp_replace(surface, r"[^0-9\x20.(-]|[\x20.-].*|\(.*", ""), F.lit(" "),
-                                                F.regexp_replace(F.regexp_replace(surface, r"^\+\d{1,3}", ""), r"\D", "")))
-        .otherwise(F.regexp_replace(surface, r"\D", ""))
+        F.when((kind == "email") | (kind == "family") | kind.startswith("given_"), F.lower(surface)).when(kind == "ipv4", surface)
+        .when(surface.startswith("+"), F.concat(F.lit("+"), code, F.lit(" "), F.substring(digits, F.length(code) + 1, F.length(digits))))
+        .otherwise(digits)
     )
 
 
@@ -128,20 +142,15 @@ def _choices(values: tuple[str, ...], drawn: Column, first: Column, last: Column
     return F.array_join(F.transform(F.sequence(first, last), lambda i: _choice(values, _byte(drawn, i))), between)
 
 
-def _name(canonical: Column, drawn: Column, attempt: Column) -> Column:
-    """Given and family name; one part where the mention has one. Each attempt has a syllable more."""
-    title, rest = F.split(canonical, " ", 2)[0], F.split(canonical, " ", 2)[1]
-    gender = F.lit("n")
-    for g in ("m", "f"):
-        gender = F.when(title.isin([t.lower() for t in TITLES[g]]), g).otherwise(gender)
-    script = F.when(rest.rlike(r"\p{IsCyrillic}"), "cyrillic").when(rest.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
-    given = family = F.lit(None).cast("string")
+def _name(kind: Column, canonical: Column, drawn: Column, attempt: Column) -> Column:
+    """A given or a family name in small letters. Each attempt has a syllable or a given name more."""
+    script = F.when(canonical.rlike(r"\p{IsCyrillic}"), "cyrillic").when(canonical.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+    name = F.lit(None).cast("string")
     for (g, s), names in GIVEN.items():
-        given = F.when((gender == g) & (script == s), _choice(names, _byte(drawn, 0))).otherwise(given)
+        name = F.when((kind == f"given_{g}") & (script == s), _choices(names, drawn, F.lit(0), attempt, "-")).otherwise(name)
     for s, syllables in SYLLABLES.items():
-        built = F.initcap(_choices(syllables, drawn, F.lit(1), attempt + 4, ""))
-        family = F.when(script == s, built).otherwise(family)
-    return F.when(rest.contains(" "), F.concat_ws(" ", given, family)).otherwise(family)
+        name = F.when((kind == "family") & (script == s), _choices(syllables, drawn, F.lit(1), attempt + 4, "")).otherwise(name)
+    return F.lower(name)
 
 
 def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Column:
@@ -165,12 +174,12 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
     ssn = _digits(drawn, 9 + more, F.lit("9"))
     return (
         F.when(kind == "email", email).when(kind == "ipv4", ipv4).when(kind == "card", card)
-        .when(kind == "phone", phone).when(kind == "ssn", ssn).otherwise(_name(canonical, drawn, attempt))
+        .when(kind == "phone", phone).when(kind == "ssn", ssn).otherwise(_name(kind, canonical, drawn, attempt))
     )
 
 
 def rendered(kind: Column, surface: Column, found: Column) -> Column:
-    """The surrogate in the form of the mention: its separators, its case, its title.
+    """The surrogate in the form of the mention: its separators, its case.
 
     Letters added to an address stand in small letters before the ``@``, added digits at the end.
     """
@@ -196,10 +205,72 @@ def rendered(kind: Column, surface: Column, found: Column) -> Column:
         F.split(surface, ""), start, put,
         lambda held: F.concat(held["text"], F.array_join(F.slice(digits, held["at"] + 1, F.size(digits)), "")),
     )
-    title = F.regexp_extract(surface, r"^([^\x20]*\x20)", 1)
-    bare = F.regexp_replace(surface, r"^[^\x20]*\x20", "")
-    named = F.concat(title, F.when((bare == F.upper(bare)) & (F.length(bare) > 2), F.upper(found)).otherwise(found))
-    return F.when(kind == "email", cased).when(kind == "ipv4", found).when(kind == "name", named).otherwise(numbered)
+    loud = (surface == F.upper(surface)) & (F.length(surface) > 2)
+    named = F.when(loud, F.upper(found)).otherwise(F.array_join(F.transform(F.split(found, "-"), F.initcap), "-"))
+    named_kind = (kind == "family") | kind.startswith("given_")
+    return F.when(kind == "email", cased).when(kind == "ipv4", found).when(named_kind, named).otherwise(numbered)
+
+
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with the value evaluated once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _part(text: Column, surface: Column | None = None, role: Column | None = None, counts: bool = True) -> Column:
+    """Some text and the mention after it; ``role`` is the mention's kind, or what may be known from other mentions."""
+    none = F.lit(None).cast("string")
+    return F.struct(
+        text.alias("text"), (none if surface is None else surface).alias("surface"), (none if role is None else role).alias("role"),
+        F.lit(counts).alias("counts"),
+    )
+
+
+def _mentioned(surface: Column) -> Column:
+    """The parts of one mention: a name after titles in one or two words, other kinds whole."""
+    titles = F.regexp_extract(surface, TITLES_OF, 1)
+    words = F.split(F.substring(surface, F.length(titles) + 1, F.length(surface)), " ")
+    gender = F.lit("n")
+    for g in ("f", "m"):
+        gender = F.when(surface.rlike(rf"(?:^|\x20)(?:{'|'.join(TITLES[g])})\.?\x20(?=.*\p{{Lu}})"), g).otherwise(gender)
+    full = F.array(_part(titles, words[0], F.concat(F.lit("given_"), gender)), _part(F.lit(" "), words[1], F.lit("family"), False))
+    kind = _kind(surface)
+    return (
+        F.when(kind != "name", F.array(_part(F.lit(""), surface, kind)))
+        .when(F.size(words) == 2, full).otherwise(F.array(_part(titles, words[0], F.lit("only"))))
+    )
+
+
+def _parts(text: Column) -> Column:
+    """The whole text cut into parts. Capitalized words are mentions of role ``word`` if the text has a name after a title."""
+    def between(piece: Column, named: Column) -> Column:
+        words = F.regexp_extract_all(piece, F.lit(WORD), F.lit(0))
+        return F.when(named, F.zip_with(
+            F.split(piece, WORD, -1), words, lambda t, w: _part(t, w, F.when(w.isNotNull(), "word"))
+        )).otherwise(F.array(_part(piece)))
+
+    def cut(held: Column) -> Column:
+        return F.flatten(F.zip_with(
+            held["pieces"], held["found"],
+            lambda piece, x: F.concat(between(piece, held["named"]), F.when(x.isNotNull(), _mentioned(x)).otherwise(F.array().cast(PARTS))),
+        ))
+
+    found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    return _once(found, lambda found: _once(F.struct(
+        F.split(text, PATTERN, -1).alias("pieces"), found.alias("found"), F.exists(found, lambda x: _kind(x) == "name").alias("named"),
+    ), cut))
+
+
+def _resolved(mentions: DataFrame) -> DataFrame:
+    """Mentions with their kind; single names and words take it from the full names of their text, other words are dropped."""
+    kept = ["pii_row", "place", "surface", "counts"]
+    word = F.lower("surface").alias("word")
+    parts = mentions.filter(F.col("role").isin("given_m", "given_f", "given_n", "family", "only"))
+    rank = F.when(F.col("role") == "family", 0).when(F.col("role") == "only", 2).otherwise(1)
+    known = parts.groupBy("pii_row", word).agg(F.min(F.struct(rank.alias("rank"), "place", "role"))["role"].alias("role"))
+    known = known.select("pii_row", "word", F.when(F.col("role") == "only", "family").otherwise(F.col("role")).alias("kind"))
+    open_ = F.col("role").isin("only", "word")
+    told = mentions.filter(open_).select(*kept, word).join(known, ["pii_row", "word"]).select(*kept, "kind")
+    return mentions.filter(~open_).select(*kept, F.col("role").alias("kind")).unionByName(told)
 
 
 def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
@@ -242,27 +313,34 @@ def with_surrogates(docs: DataFrame, key: str, text: str = "text", name: str = "
     """
     spark = docs.sparkSession
     folder = new_folder(spark, "entities")
-    held = F.coalesce(docs[text].cast("string"), F.lit(""))
+    held = docs[text].cast("string")
+    others = [F.lit(None).cast(docs.schema[c].dataType).alias(c) if c == text else docs[c] for c in docs.columns]
     docs.select(
-        F.monotonically_increasing_id().alias("pii_row"), F.struct(*[docs[c] for c in docs.columns]).alias("pii_held"),
-        F.regexp_extract_all(held, F.lit(PATTERN), F.lit(0)).alias("pii_found"),
+        F.monotonically_increasing_id().alias("pii_row"), F.struct(*others).alias("pii_held"), _parts(held).alias("pii_parts"),
     ).write.parquet(folder)
     found = spark.read.parquet(folder)
-    mentions = found.select("pii_row", F.posexplode("pii_found").alias("place", "surface"))
-    mentions = mentions.withColumn("kind", _kind(F.col("surface"))).withColumn("canonical", _canonical(F.col("kind"), F.col("surface")))
+    mentions = found.select("pii_row", F.posexplode("pii_parts").alias("place", "part")).select("pii_row", "place", "part.surface", "part.role", "part.counts")
+    mentions = _resolved(mentions.filter(F.col("surface").isNotNull()))
+    mentions = mentions.withColumn("canonical", _canonical(F.col("kind"), F.col("surface")))
     table = distinct_surrogates(mentions, key)
+    new = rendered(F.col("kind"), F.col("surface"), F.col("surrogate")).alias("new")
     replaced = (
-        mentions.join(table, ["kind", "canonical"])
-        .select("pii_row", F.struct("place", rendered(F.col("kind"), F.col("surface"), F.col("surrogate")).alias("new")).alias("one"))
-        .groupBy("pii_row").agg(F.sort_array(F.collect_list("one")).alias("new"))  # as many as the text has entities
+        mentions.join(table, ["kind", "canonical"]).select("pii_row", "counts", F.struct("place", new).alias("one"))
+        .groupBy("pii_row").agg(F.sort_array(F.collect_list("one")).alias("new"), F.count_if("counts").alias("n"))  # as many as the text has entities
     )
-    some = found.filter(F.size("pii_found") > 0).join(replaced, "pii_row")
-    pieces = F.split(F.col("pii_held")[text].cast("string"), PATTERN, -1)
-    joined = F.array_join(F.flatten(F.zip_with(
-        pieces, F.transform("new", lambda x: x["new"]), lambda piece, new: F.array(piece, F.coalesce(new, F.lit("")))
-    )), "")
-    out = lambda value, frame: frame.select(
-        *[(value if c == text else F.col("pii_held")[c]).alias(c) for c in docs.columns],
-        F.size("pii_found").cast("long").alias(name),
+    # parts up to each replaced one, then the rest: every part is looked at once
+    has = F.exists("pii_parts", lambda x: x["surface"].isNotNull())
+    plain = lambda parts: F.array_join(F.transform(parts, lambda x: F.concat(x["text"], F.coalesce(x["surface"], F.lit("")))), "")
+
+    def upto(one: Column, i: Column) -> Column:
+        start = F.when(i == 0, 0).otherwise(F.get(F.col("new"), i - 1)["place"] + 1)
+        return F.concat(plain(F.slice("pii_parts", start + 1, one["place"] - start)), F.get(F.col("pii_parts"), one["place"])["text"], one["new"])
+
+    after = F.element_at("new", -1)["place"] + 1
+    rest = plain(F.slice("pii_parts", after + 1, F.size("pii_parts")))
+    joined = F.concat(F.array_join(F.transform("new", upto), ""), rest)
+    out = lambda value, count, frame: frame.select(
+        *[(value if c == text else F.col("pii_held")[c]).alias(c) for c in docs.columns], count.cast("long").alias(name),
     )
-    return out(joined, some).unionByName(out(F.col("pii_held")[text].cast("string"), found.filter(F.size("pii_found") == 0)))
+    some = found.filter(has).join(replaced, "pii_row")
+    return out(joined, F.col("n"), some).unionByName(out(plain(F.col("pii_parts")), F.lit(0), found.filter(~F.coalesce(has, F.lit(False)))))

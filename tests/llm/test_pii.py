@@ -88,7 +88,7 @@ def test_long_text_with_many_mentions(spark):
 
 def test_more_entities_than_first_surrogates(spark):
     """Over 65,536 titled surnames, punctuation-only and one-letter locals, many short telephone numbers."""
-    surnames = spark.range(66_000).select(F.lit("name").alias("kind"), F.concat(F.lit("mr s"), F.col("id")).alias("canonical"))
+    surnames = spark.range(66_000).select(F.lit("family").alias("kind"), F.concat(F.lit("s"), F.col("id")).alias("canonical"))
     locals_ = [*(f"{c}@mail.org" for c in "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿабвгд"), "...@mail.org", "_@mail.org", "-@mail.org"]
     locals_ += [f"...@{a}.org" for a in "abcdefghijklmnopqrstuvwxyz"] + [f"_@{a}.org" for a in "abcdefghijklmnopqrstuvwxyz"]
     rest = [("email", x) for x in locals_] + [("phone", f"+999 {i:03d}") for i in range(1000)]
@@ -110,3 +110,28 @@ def test_longer_surrogates_are_rendered_whole(spark):
     frame = spark.createDataFrame(rows, "kind string, surface string, found string")
     found = [r[0] for r in frame.select(pii.rendered(F.col("kind"), F.col("surface"), F.col("found"))).collect()]
     assert found == ["X.Yqq@Zw.org", "912-34-56781", "+49 (234) 567-89012"]
+
+
+def test_international_numbers_in_any_grouping(spark):
+    texts = ["call +15551234567 now", "or +1 555 123 4567, +1 (555) 123-4567", "+49 30 1234567; +33 6 12 34 56 78.", "+123456 and +12345678901234567890"]
+    found = by_id(replaced(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)]))
+    numbers = [re.sub(r"\D", "", x) for x in (found[0], *found[1].split(","))]
+    assert len(set(numbers)) == 1 and numbers[0] != "15551234567" and numbers[0][0] == "1" and len(numbers[0]) == 11
+    assert re.fullmatch(r"\+49 \d\d \d{7}; \+33 \d \d\d \d\d \d\d \d\d\.", found[2]) and "30 1234567" not in found[2] and "12 34 56 78" not in found[2]
+    assert found[3] == texts[3]
+
+
+def test_names_without_their_titles_and_later_mentions(spark):
+    texts = {
+        1: "Mr John Smith came. Later Smith and JOHN sat; John Smith's chair, O'Neil, Smithson and smith stay.",
+        2: "Dr Smith met Mr Smith, Mrs Mary Smith, Prof. Dr. Smith and Herr Dr. Smith.",
+        3: "No title: John Smith stays.", 4: "Ms Ann-Marie O'Neil and Ann-Marie, then Mr John Hill and Mr John.",
+    }
+    rows = {r.doc_id: r for r in with_surrogates(spark.createDataFrame([(i, t, "en", "a", 1) for i, t in texts.items()], DOCS), "k").collect()}
+    given, family = re.match(r"Mr (\S+) (\w+) came", rows[1].text).groups()
+    assert rows[1].text == f"Mr {given} {family} came. Later {family} and {given.upper()} sat; {given} {family}'s chair, O'Neil, Smithson and smith stay."
+    mary = re.search(r"Mrs (\S+) ", rows[2].text)[1]
+    assert rows[2].text == f"Dr {family} met Mr {family}, Mrs {mary} {family}, Prof. Dr. {family} and Herr Dr. {family}."
+    assert mary in pii.GIVEN["f", "latin"] and (rows[2].n_entities, rows[3].n_entities) == (5, 0) and rows[3].text == texts[3]
+    ann, neil, hill = re.fullmatch(r"Ms (\S+) (\S+) and \S+, then Mr \S+ (\S+) and Mr \S+\.", rows[4].text).groups()
+    assert rows[4].text == f"Ms {ann} {neil} and {ann}, then Mr {given} {hill} and Mr {given}."
