@@ -15,6 +15,7 @@ from shiftledger.llm.near_join import near_copies
 from shiftledger.llm.packing import pack
 from shiftledger.llm.pii import with_surrogates
 from shiftledger.llm.quality import quality_scores
+from shiftledger.llm.token_counts import token_counts
 from shiftledger.llm.toxicity import toxic_passages
 
 SURROGATE_KEY = "registered query"  # in production a secret of the caller
@@ -26,10 +27,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_near_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,6 +210,10 @@ OP10_SQL = r"""
     from ruled r join hosts h on r.source is not distinct from h.source"""
 
 
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Build] = {
     "op1_near_join": op1_near_join,
     "op2_toxicity": op2_toxicity,
@@ -220,6 +225,7 @@ QUERIES: dict[str, Build] = {
     "op8_chat": op8_chat,
     "op9_mixing": op9_mixing,
     "op10_host_rules": op10_host_rules,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLES: dict[str, str] = {
