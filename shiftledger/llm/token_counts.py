@@ -6,10 +6,9 @@ once, and a document's count is the sum over its pre-tokens of frequency times p
 
 1. Blocks of documents are cut into pre-tokens where they are read; a block keeps its distinct
    pre-tokens and each document's frequencies (``tallies``), and is written.
-2. The pre-tokens of all blocks are made distinct (a block sends each of its own once, however often
-   it stands there) and tokenized.
-3. The pieces are joined back to the blocks' pre-tokens, one row per block and pre-token, so that no key has more
-   rows than there are blocks; each block then sums for its documents.
+2. Each block sends its pre-tokens, each once, however often it stands there, to be sorted; so equal ones of all
+   blocks meet, with no more rows than there are blocks, and the pieces of each are counted once.
+3. A block gets the pieces of its pre-tokens back and sums for its documents.
 """
 
 from __future__ import annotations
@@ -29,8 +28,8 @@ from shiftledger.llm.tallies import Tallies, parts, unpacked
 from shiftledger.session import new_folder
 
 LIMIT = 1024
-BLOCK_ROWS = 4096
-BLOCK_ENTRIES = 1_000_000  # (document, pre-token) pairs; more only for a single longer document
+BLOCK_ROWS = 1 << 16
+BLOCK_ENTRIES = 3_000_000  # (document, pre-token) pairs; more only for a single longer document
 
 #: The pattern of byte-level pre-tokenizers (fixed values).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -115,10 +114,20 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str, rows: int, entries: in
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """The pieces of sorted words, each counted at its first row; place and pieces come back in one number."""
     tokenizer = PreTokenizer(path).tokenizer
+    last, known = None, 0
     for batch in batches:
-        coded = tokenizer.encode_batch_fast(batch.column(0).to_pylist(), add_special_tokens=False)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x.ids) for x in coded], pa.int32())], ["word", "pieces"])
+        words = batch.column(2).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        old = int(bool(distinct) and distinct[0] == last)  # goes on from the batch before
+        coded = tokenizer.encode_batch_fast(distinct[old:], add_special_tokens=False)
+        pieces = np.array([known] * old + [len(x.ids) for x in coded], np.int64)
+        if distinct:
+            last, known = distinct[-1], int(pieces[-1])
+        places = batch.column(1).to_numpy().astype(np.int64)
+        found = places << 32 | pieces[words.indices.to_numpy()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["block", "found"])
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,9 +136,9 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, sizes, specials, entries, held, found = (batch.column(i)[at] for i in range(6))
             pieces = np.zeros(0, np.int64)
             if found.is_valid:  # a block of empty texts has no pre-tokens
-                places, counts = found.values.flatten()
-                pieces = np.zeros(len(places), np.int64)
-                pieces[places.to_numpy()] = counts.to_numpy()
+                told = found.values.to_numpy()
+                pieces = np.zeros(len(told), np.int64)
+                pieces[told >> 32] = told & 0xFFFFFFFF
             cuts, refs, counts = unpacked(held.as_py(), len(ids), entries.as_py())
             sums = np.concatenate([[0], np.cumsum(pieces[refs] * counts)])
             tokens = sums[cuts[1:]] - sums[cuts[:-1]] + specials.values.to_numpy()
@@ -157,9 +166,12 @@ def token_counts(
     ).withColumn("block", F.monotonically_increasing_id()).write.parquet(folder)
 
     blocks = spark.read.parquet(folder)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     words = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    pieces = words.select("word").distinct().mapInArrow(lambda batches: _pieces(batches, tokenizer), "word string, pieces int")
-    found = words.join(pieces, "word").groupBy("block").agg(F.collect_list(F.struct("place", "pieces")).alias("found"))
+    pieces = words.repartition(tasks, "word").sortWithinPartitions("word").mapInArrow(
+        lambda batches: _pieces(batches, tokenizer), "block long, found long"
+    )
+    found = pieces.groupBy("block").agg(F.collect_list("found").alias("found"))
     joined = blocks.join(found, "block", "left").select("doc_ids", "n_bytes", "specials", "entries", "held", "found")
     counted = joined.mapInArrow(_sums, "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
