@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shiftledger.llm import chat, secrets
 from shiftledger.llm.exact_dedup import exact_copies
 from shiftledger.llm.host_rules import judge
+from shiftledger.llm.manifest import verified_documents
 from shiftledger.llm.mixing import with_copies
 from shiftledger.llm.near_join import near_copies
 from shiftledger.llm.packing import pack
@@ -210,6 +211,72 @@ OP10_SQL = r"""
     from ruled r join hosts h on r.source is not distinct from h.source"""
 
 
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return verified_documents(table(spark, folder, "documents"), tampered)
+
+
+def _field_sql(column: str) -> str:
+    return f"coalesce(strlen({column}::varchar) || ':' || {column}, '-')"
+
+
+def _levels_sql(name: str, leaves: str) -> str:
+    """All nodes over ``leaves`` (tree, idx, digest, n): pairs become one until a level has a single node."""
+    return f"""{name} as (
+        select tree, 0 as level, idx, digest, n from {leaves}
+        union all
+        select tree, level + 1, idx // 2, sha256(string_agg(digest, '' order by idx)), (max(n) + 1) // 2
+        from {name} where n > 1 group by tree, level, idx // 2)"""
+
+
+def _folds_sql(name: str, first: str, nodes: str) -> str:
+    """Digests of ``first`` (row_id, tree, idx, n, digest, proof) taken up through ``nodes``, with the siblings that were met."""
+    return f"""{name} as (
+        select row_id, tree, 0 as level, idx, n, digest, proof from {first}
+        union all
+        select f.row_id, f.tree, f.level + 1, f.idx // 2, (f.n + 1) // 2,
+            sha256(case when f.idx % 2 = 0 then f.digest || coalesce(s.digest, '') else s.digest || f.digest end),
+            f.proof || coalesce(s.digest, '')
+        from {name} f left join {nodes} s on s.tree = f.tree and s.level = f.level and s.idx = xor(f.idx, 1)
+        where f.n > 1)"""
+
+
+def _leaf_sql(count: str) -> str:
+    return " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", count, "text"))
+
+
+OP11_SQL = f"""
+    with recursive marked as materialized (
+        select row_number() over () as row_id, doc_id, coalesce('=' || lang, '-') as tree,
+            sha256({_leaf_sql("n_chars")}) as leaf, sha256({_leaf_sql("(n_chars + 1)")}) as other,
+            coalesce(xor(4294967295, list_reduce(
+                list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+                lambda held, byte: list_reduce(
+                    list_prepend(xor(held, byte), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+                    lambda x, z: xor(x >> 1, (x & 1) * 3988292384)))) % 7 = 0, false) as tampered
+        from documents),
+    leaves as materialized (
+        select row_id, tree, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as idx, leaf as digest,
+            count(*) over (partition by tree) as n
+        from marked),
+    {_levels_sql("nodes", "leaves")},
+    roots as materialized (
+        select '' as tree, tree as name, digest, row_number() over (order by tree) - 1 as idx, count(*) over () as n
+        from nodes where n = 1),
+    {_levels_sql("forest", "roots")},
+    firsts as materialized (
+        select l.row_id, l.tree, l.idx, l.n, case when tampered then other else leaf end as digest, '' as proof
+        from leaves l join marked using (row_id)),
+    {_folds_sql("folds", "firsts", "nodes")},
+    seconds as materialized (
+        select f.row_id, '' as tree, r.idx, r.n, f.digest, f.proof, r.digest as subroot
+        from folds f join roots r on r.name = f.tree where f.n = 1),
+    {_folds_sql("tops", "seconds", "forest")}
+    select doc_id, leaf, subroot, r.digest as root, sha256(t.proof) as proof_sha256, t.digest as folded_root, t.digest = r.digest as verified
+    from tops t join seconds s using (row_id) join marked m using (row_id), forest r
+    where t.n = 1 and r.n = 1"""
+
+
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -225,6 +292,7 @@ QUERIES: dict[str, Build] = {
     "op8_chat": op8_chat,
     "op9_mixing": op9_mixing,
     "op10_host_rules": op10_host_rules,
+    "op11_manifest": op11_manifest,
     "op13_token_counts": op13_token_counts,
 }
 
@@ -233,4 +301,5 @@ ORACLES: dict[str, str] = {
     "op8_chat": OP8_SQL,
     "op9_mixing": OP9_SQL,
     "op10_host_rules": OP10_SQL,
+    "op11_manifest": OP11_SQL,
 }
