@@ -13,7 +13,7 @@ counted by the driver. To fold, each block gets the path from its top to the roo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -203,12 +203,12 @@ class Manifest:
     def _roots(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/forest_leaves")
 
-    def _with_paths(self, kind: str, layers: int, above: DataFrame) -> DataFrame:
-        """The lowest blocks with the path from their tops to the root; ``above`` has that of each tree's root."""
+    def _with_paths(self, kind: str, layers: int, end: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """The lowest blocks with path, subroot and root; ``end`` adds these to the blocks whose tops are trees' roots."""
         lower, size = None, self.size
         for layer in reversed(range(layers)):
             held = self.blocks(kind, layer)
-            full = held.filter(F.col("total") <= size).join(above, "tree")
+            full = end(held.filter(F.col("total") <= size))
             if lower is not None:
                 more = held.filter(F.col("total") > size).join(lower.withColumnRenamed("position", "block"), ["tree", "block"])
                 full = full.unionByName(more)
@@ -231,14 +231,11 @@ class Manifest:
         root of the manifest, proof (the SHA-256 of all siblings on the way), and folded.
         """
         size = self.size
-        none = F.array().cast(f"array<{STEP}>")
-        top = self.blocks("forest", self.forest_layers - 1).select(
-            F.lit("").alias("tree"), none.alias("path"), F.lit(None).cast("binary").alias("subroot"), F.col("top").alias("root")
-        )
-        forest = self._paths_of(self._with_paths("forest", self.forest_layers, top))
+        top = {"path": F.array().cast(f"array<{STEP}>"), "subroot": F.lit(None).cast("binary"), "root": F.col("top")}
+        forest = self._paths_of(self._with_paths("forest", self.forest_layers, lambda held: held.withColumns(top)))
         roots = self._roots().select(F.col("name").alias("tree"), "position", F.col("digest").alias("own"))
         above = roots.join(forest.drop("tree"), "position").select("tree", "path", F.col("own").alias("subroot"), "root")
-        blocks = self._with_paths("trees", self.layers, above).select(
+        blocks = self._with_paths("trees", self.layers, lambda held: held.join(above, "tree")).select(
             "tree", "block", "size", "fanout", "levels", "nodes", "states", "path", "subroot", "root"
         )
         carried = [c for c in replaced.columns if c not in ("tree", "position", "digest")]
