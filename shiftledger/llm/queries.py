@@ -16,6 +16,7 @@ from shiftledger.llm.near_join import near_copies
 from shiftledger.llm.packing import pack
 from shiftledger.llm.pii import with_surrogates
 from shiftledger.llm.quality import quality_scores
+from shiftledger.llm.ranked import ranked
 from shiftledger.llm.token_counts import token_counts
 from shiftledger.llm.toxicity import toxic_passages
 
@@ -277,6 +278,31 @@ OP11_SQL = f"""
     where t.n = 1 and r.n = 1"""
 
 
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("rescored")
+
+
+OP12_SQL = r"""
+    with held as materialized (
+        select doc_id, term, count(*) as tf
+        from (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents)
+        group by all),
+    sizes as materialized (select doc_id, sum(tf)::bigint as n from held group by all),
+    corpus as materialized (select count(*) as docs, sum(n)::bigint as terms from sizes),
+    weights as materialized (
+        select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)))::bigint as w from held, corpus group by term),
+    norms as materialized (select doc_id, (50 + (50 * n * docs) // terms)::bigint as m from sizes, corpus),
+    asked as materialized (
+        select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+    scored as (
+        select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+        from asked join held using (term) join weights using (term) join norms using (doc_id) group by all)
+    select item_id, (row_number() over best)::int as rank, doc_id, score from scored where score > 0
+    window best as (partition by item_id order by score desc, doc_id) qualify row_number() over best <= 50"""
+
+
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -293,6 +319,7 @@ QUERIES: dict[str, Build] = {
     "op9_mixing": op9_mixing,
     "op10_host_rules": op10_host_rules,
     "op11_manifest": op11_manifest,
+    "op12_ranked_search": op12_ranked_search,
     "op13_token_counts": op13_token_counts,
 }
 
@@ -302,4 +329,5 @@ ORACLES: dict[str, str] = {
     "op9_mixing": OP9_SQL,
     "op10_host_rules": OP10_SQL,
     "op11_manifest": OP11_SQL,
+    "op12_ranked_search": OP12_SQL,
 }
