@@ -47,10 +47,12 @@ def parse_timestamp(text: Column, formats: Iterable[tuple[str, str]] = ()) -> Co
 
     The shape is tested because a bare cast would also take partial dates such as ``2020``.
     """
-    year_first = F.regexp_replace(text, MONTH_FIRST_SHAPE, "$3-$1-$2$4")
+    turned = F.regexp_replace(text, MONTH_FIRST_SHAPE, "$3-$1-$2$4")
+    year_first = F.when(F.contains(text, F.lit("/")), turned).otherwise(text)
     plain = F.regexp_extract(year_first, ISO_SHAPE, 0).try_cast("timestamp_ntz")
     formats = list(formats)
-    return F.coalesce(plain, _parse_other(text, formats)) if formats else plain
+    # Texts without a digit are no dates; only the rest is worth the longer way.
+    return F.coalesce(plain, F.when(text.rlike(r"\d"), _parse_other(text, formats))) if formats else plain
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -59,43 +61,27 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _parse_other(text: Column, formats: list[tuple[str, str]]) -> Column:
-    parts = rf"^(.*?)(?:(?:[ T]+({_CLOCK})|T(\d{{4}}(?:\d\d)?))\s*([AP]M)?\s*(Z|[+-]\d\d:?\d\d)?)?$"
-    names = ("day", "clock", "short", "half", "zone")
-
-    def split(word: Column) -> Column:
-        return F.struct(*[F.regexp_extract(word, parts, place).alias(name) for place, name in enumerate(names, start=1)])
-
-    def with_numbered_month(day: Column) -> Column:
-        name = F.regexp_extract(day, "([A-Z]{3})", 1)
-        number = F.floor((F.instr(F.lit("".join(MONTH_NAMES)), name) + 2) / 3).cast("string")
-        return F.when(name == "", day).otherwise(F.regexp_replace(day, "[A-Z]{3,}", F.concat(F.lit("M"), number)))
-
-    def as_iso(day: Column) -> Column:
-        date = F.lit(None).cast("string")
-        for pattern, replacement in reversed(formats):
-            date = F.when(day.rlike(rf"^{pattern}$"), F.regexp_replace(day, rf"^{pattern}$", replacement)).otherwise(date)
-        return date
-
-    def local(date: Column, part: Column) -> Column:
-        short = F.regexp_replace(F.regexp_replace(part["short"], r"^(\d\d)(\d\d)(\d\d)?$", "$1:$2:$3"), r":$", "")
-        clock = F.concat(part["clock"], short)
-        hour = F.regexp_extract(clock, r"^(\d+)", 1).try_cast("int")
-        turned = F.concat(
-            (hour % 12 + F.when(part["half"] == "PM", 12).otherwise(0)).cast("string"), F.regexp_extract(clock, r"^\d+(:.*)$", 1)
-        )
-        time = F.when(part["half"] == "", clock).when(hour.between(1, 12), turned)
-        text = F.when(time == "", date).otherwise(F.concat(date, F.lit(" "), time))
-        return F.when(date.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text).try_cast("timestamp_ntz")
-
-    def minutes(zone: Column) -> Column:
+    """The text is rewritten step by step; a date that was read starts with ``=``, so no later format takes it."""
+    text = F.upper(F.btrim(text, F.lit(WHITESPACE)))
+    for number, name in enumerate(MONTH_NAMES, start=1):
+        text = F.regexp_replace(text, rf"\b{name}[A-Z]*", f"M{number}")
+    for pattern, replacement in formats:
+        text = F.regexp_replace(text, rf"^{pattern}(?=$|[ T])", f"={replacement}")
+    text = F.regexp_replace(text, r"^(=[\d-]+)T(\d\d)(\d\d)(\d\d)?(?![\d:])", "$1 $2:$3:$4")
+    text = F.regexp_replace(text, r":(?!\d)", "")
+    shape = rf"^=(\d{{4}}-\d{{1,2}}-\d{{1,2}})(?:[ T]+({_CLOCK})\s*([AP]M)?\s*(Z|[+-]\d\d:?\d\d)?)?$"
+
+    def read(word: Column) -> Column:
+        day, clock, half, zone = (F.regexp_extract(word, shape, place) for place in range(1, 5))
+        local = F.concat_ws(" ", F.nullif(day, F.lit("")), F.nullif(clock, F.lit(""))).try_cast("timestamp_ntz")
+        hour = F.regexp_extract(clock, r"^\d+", 0).try_cast("int")
+        later = hour % 12 + F.when(half == "PM", 12).otherwise(0) - hour
         hours, rest = (F.regexp_extract(zone, r"(\d\d):?(\d\d)$", place).try_cast("int") for place in (1, 2))
-        return F.coalesce(hours * 60 + rest, F.lit(0)) * F.when(zone.startswith("-"), -1).otherwise(1)
+        ahead = F.coalesce(hours * 60 + rest, F.lit(0)) * F.when(zone.startswith("-"), -1).otherwise(1)
+        shift = F.when(half == "", 0).when(hour.between(1, 12), later)
+        return local + F.make_dt_interval(hours=shift, mins=-ahead)
 
-    def read(part: Column) -> Column:
-        date = _bound(with_numbered_month(part["day"]), as_iso)
-        return _bound(date, lambda d: local(d, part)) - F.make_dt_interval(mins=minutes(part["zone"]))
-
-    return _bound(split(F.upper(F.btrim(text, F.lit(WHITESPACE)))), read)
+    return _bound(text, read)
 
 
 def parse_date(text: Column, formats: Iterable[tuple[str, str]] = ()) -> Column:

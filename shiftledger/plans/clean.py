@@ -15,6 +15,7 @@ from shiftledger.functions import (
     strip_text,
 )
 from shiftledger.operators import first_per_key, missing_keys
+from shiftledger.plans.formats import DAY_FIRST, month_first, with_day_first
 from shiftledger.rules import Rules
 from shiftledger.schemas import EMPLOYEE_FIELDS, LINEAGE_FIELDS, TIMESHEET_FIELDS
 
@@ -31,14 +32,15 @@ _PARSERS = {
 def typed(raw: DataFrame, fields: dict[str, T.DataType], formats: tuple[tuple[str, str], ...] = ()) -> DataFrame:
     """The listed columns parsed by type (dates and times also by ``formats``), and the lineage columns that are there.
 
-    A column the input lacks becomes a typed NULL.
+    A column the input lacks becomes a typed NULL. Columns that ``with_day_first`` found are read day first.
     """
 
     def parsed(name: str, kind: T.DataType) -> Column:
         if name not in raw.columns:
             return F.lit(None).cast(kind).alias(name)
         if isinstance(kind, (T.DateType, T.TimestampNTZType)):
-            return _PARSERS[kind](F.col(name), formats).alias(name)
+            text = month_first(F.col(name), name) if DAY_FIRST in raw.columns else F.col(name)
+            return _PARSERS[kind](text, formats).alias(name)
         return _PARSERS.get(kind, parse_number)(F.col(name)).alias(name)
 
     lineage = [F.col(name) for name in LINEAGE_FIELDS if name in raw.columns]
@@ -67,19 +69,27 @@ def clean_employees(raw: DataFrame, rules: Rules) -> DataFrame:
     """Typed employees, one row per id, the most recently loaded.
 
     ``active_status`` follows from the parsed end date, whatever the file says.
-    Only the rows kept are parsed.
+    Only the rows kept are parsed, dates the way round that the whole column of their file tells.
     """
     rows = raw.withColumn(ID, strip_text(F.col(ID))).where(F.col(ID).isNotNull())
-    kept = typed(first_per_key(rows, [ID], newest_first(rows)), EMPLOYEE_FIELDS, rules.date_formats)
+    latest = first_per_key(rows, [ID], newest_first(rows))
+    kept = typed(with_day_first(latest, raw, EMPLOYEE_FIELDS), EMPLOYEE_FIELDS, rules.date_formats)
     return kept.withColumn("active_status", F.col("term_date").isNull()).select(*EMPLOYEE_FIELDS)
 
 
 def clean_timesheets(raw: DataFrame, rules: Rules) -> DataFrame:
     """Typed timesheet rows with a usable employee id.
 
-    The ids are judged as they came: a filter on parsed columns would parse them twice.
+    The ids are judged as they came: a filter on parsed columns would parse them twice. Dates are read the way round that
+    the whole column of their file tells.
     """
-    return typed(raw.where(~is_junk_id(F.col(ID), rules.junk_ids)), TIMESHEET_FIELDS, rules.date_formats)
+    rows = raw.where(~is_junk_id(F.col(ID), rules.junk_ids))
+    return typed(with_day_first(rows, raw, TIMESHEET_FIELDS), TIMESHEET_FIELDS, rules.date_formats)
+
+
+def unreadable_texts(raw: DataFrame, fields: dict[str, T.DataType], rules: Rules) -> DataFrame:
+    """:func:`unreadable` of raw rows, each read as the cleaning reads it."""
+    return unreadable(raw, typed(with_day_first(raw, raw, fields), fields, rules.date_formats), fields)
 
 
 def unreadable(raw: DataFrame, parsed: DataFrame, fields: dict[str, T.DataType], key: str = ID) -> DataFrame:

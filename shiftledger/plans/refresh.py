@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
 from typing import NamedTuple
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 from shiftledger.operators import ConstraintViolation, insert_absent, upsert
 from shiftledger.operators.constraints import BROKEN, ROW_RULES, mark_broken, orphan_keys
 from shiftledger.plans import quality, report
-from shiftledger.plans.clean import clean_employees, clean_timesheets, junk_summary, placeholders
+from shiftledger.plans.clean import clean_employees, clean_timesheets, junk_summary, placeholders, unreadable_texts
 from shiftledger.plans.curate import PUNCH_KEY, curate_employees, curate_timesheets
+from shiftledger.plans.formats import column_formats
 from shiftledger.rules import Rules
 from shiftledger.schemas import EMPLOYEE_FIELDS, TIMESHEET_FIELDS
 from shiftledger.session import new_folder
@@ -36,6 +38,8 @@ class Refresh(NamedTuple):
     junk_ids: DataFrame
     results: DataFrame
     report_paths: dict[str, str]
+    date_formats: DataFrame  # per file and date column of what was staged: the way round of its dates, and whether it is a guess
+    unreadable: DataFrame  # per table and column: texts staged and values read from them
 
 
 def load_raw(
@@ -60,12 +64,19 @@ def load_raw(
     return intake
 
 
-def _raw_rows(layers: Layers, table: str, only_this_load: bool) -> DataFrame:
-    """All raw rows, or those that these layers have loaded last; the folder of that load alone is read."""
-    return layers.read_written(table) if only_this_load else layers.read(table)
+def _raw_rows(layers: Layers, raw: str, consumer: str, only_this_load: bool) -> tuple[DataFrame, dict[str, int]]:
+    """All raw rows, or those of the loads that ``consumer`` has not taken up; and how far it has when they are in.
+
+    Loads that a stopped run left behind are among them. Only the folders of these loads are read.
+    """
+    upto = layers.position(raw)
+    after = layers.consumed(consumer, raw) if only_this_load else 0
+    return layers.read(raw, after=after, upto=upto), {raw: upto}
 
 
-def merge(layers: Layers, incoming: DataFrame, table: str, rules: Rules, on_violation: str) -> None:
+def merge(
+    layers: Layers, incoming: DataFrame, table: str, rules: Rules, on_violation: str, consumed: dict[str, int] | None = None
+) -> None:
     """Upserts employees. In quarantine only good rows are merged, so a bad update leaves the stored row as it is."""
     if on_violation == "quarantine":
         folder = new_folder(layers.spark, "incoming")
@@ -73,18 +84,19 @@ def merge(layers: Layers, incoming: DataFrame, table: str, rules: Rules, on_viol
         marked = layers.spark.read.parquet(folder)
         layers.set_aside(marked.where(F.size(BROKEN) > 0), table)
         incoming = marked.where(F.size(BROKEN) == 0).drop(BROKEN)
-    layers.replace(upsert(layers.read(table), incoming, ID, rules.stamp), table)
+    layers.replace(upsert(layers.read(table), incoming, ID, rules.stamp), table, consumed=consumed)
 
 
 def stage_employees(
     layers: Layers, rules: Rules, *, on_violation: str = "fail", only_this_load: bool = False
 ) -> bool:
     """Returns whether there was anything to stage."""
-    raw = _raw_rows(layers, "raw.employee_raw", only_this_load)
+    table = "staging.employee_staging"
+    raw, consumed = _raw_rows(layers, "raw.employee_raw", table, only_this_load)
     if raw.isEmpty():
         log.warning("no raw employees, nothing to stage")
         return False
-    merge(layers, clean_employees(raw, rules), "staging.employee_staging", rules, on_violation)
+    merge(layers, clean_employees(raw, rules), table, rules, on_violation, consumed)
     return True
 
 
@@ -93,26 +105,30 @@ def stage_timesheets(
 ) -> bool:
     """Reloads the staged timesheets and adds a placeholder for every unknown employee id.
 
-    Returns whether there was anything to stage.
+    With ``only_this_load`` the staged rows are those of all loads that the curated table lacks. Returns whether
+    there was anything to stage.
     """
-    raw = _raw_rows(layers, "raw.timesheet_raw", only_this_load)
+    raw, consumed = _raw_rows(layers, "raw.timesheet_raw", "curated.timesheet", only_this_load)
     if raw.isEmpty():
         log.warning("no raw timesheets, nothing to stage")
         return False
     now = F.lit(rules.stamp).cast("timestamp")
     table, people = "staging.timesheet_staging", "staging.employee_staging"
-    layers.replace(clean_timesheets(raw, rules).withColumn("created_at", now), table, on_violation=on_violation)
+    staged = clean_timesheets(raw, rules).withColumn("created_at", now)
+    layers.replace(staged, table, on_violation=on_violation, consumed=consumed)
     unknown = placeholders(layers.read(table), layers.read(people))
     layers.append(unknown.withColumns({"created_at": now, "updated_at": now}), people)
     return True
 
 
 def load_employees(layers: Layers, rules: Rules, *, on_violation: str = "fail") -> None:
-    staged = layers.read("staging.employee_staging")
+    source = "staging.employee_staging"
+    consumed = {source: layers.position(source)}
+    staged = layers.read(source)
     if staged.isEmpty():
         log.warning("no staged employees, nothing to curate")
         return
-    merge(layers, curate_employees(staged, rules), "curated.employee", rules, on_violation)
+    merge(layers, curate_employees(staged, rules), "curated.employee", rules, on_violation, consumed)
 
 
 def _held_near(held: DataFrame, incoming: DataFrame, *, null_safe: bool) -> DataFrame:
@@ -148,17 +164,21 @@ def load_timesheets(
     Missing punch times are equal by default, so that a repeated load adds nothing. With
     ``null_safe=False`` they differ from everything, as in a SQL unique constraint.
     """
-    staged = layers.read("staging.timesheet_staging")
+    table, source, raw = "curated.timesheet", "staging.timesheet_staging", "raw.timesheet_raw"
+    upto = layers.consumed(source, raw)
+    consumed = {raw: upto} if upto else None
+    staged = layers.read(source)
     if staged.isEmpty():
         log.warning("no staged timesheets, nothing to curate")
+        if consumed:
+            layers.advance(table, consumed)
         return
-    table = "curated.timesheet"
     incoming = curate_timesheets(staged, rules)
     held = _held_near(layers.read(table), staged, null_safe=null_safe)
     fresh = insert_absent(held, incoming, PUNCH_KEY, null_safe=null_safe, unique=True)
     fresh = _with_known_employees(layers, fresh, table, on_violation)
     now = F.lit(rules.stamp).cast("timestamp")
-    layers.append(fresh.withColumn("created_at", now), table, on_violation=on_violation)
+    layers.append(fresh.withColumn("created_at", now), table, on_violation=on_violation, consumed=consumed)
 
 
 def check(layers: Layers, rules: Rules, *, json_path: str | None = None) -> DataFrame:
@@ -190,10 +210,15 @@ def refresh(
     """Runs all steps in order. ``root`` is a folder that all executors share.
 
     By default all raw rows are staged again at every run. With
-    ``only_this_load`` only those of this run are, and tables without new files are not
+    ``only_this_load`` only those that no run has curated yet are, and tables without new files are not
     curated again: employees are updated by the latest load and punches already
     there stay, and the work follows the load instead of the whole history. Without ``rules.run_at`` the
     clock is read once, at the start, so that later runs of a day are later.
+
+    A run may stop at any point. Each step commits its rows together with how far it has consumed its source, so the
+    next run goes on from there, also with ``mode="new_files"``, which does not load the files again. A load that breaks
+    a rule stays pending until a run sets its bad rows aside (``on_violation="quarantine"``). A file that was replaced is
+    loaded again in full and its earlier rows stay in raw: employees are updated by it, punches are added, none is taken back.
     """
     if rules.run_at is None:
         rules = replace(rules, run_at=datetime.now())
@@ -202,9 +227,14 @@ def refresh(
     people = load_raw(layers, "raw.employee_raw", employee_folder, list(EMPLOYEE_FIELDS), rules, **options)
     punches = load_raw(layers, "raw.timesheet_raw", timesheet_folder, list(TIMESHEET_FIELDS), rules, **options)
     scope = {"on_violation": on_violation, "only_this_load": only_this_load}
-    new_people = stage_employees(layers, rules, **scope)
-    new_punches = stage_timesheets(layers, rules, **scope)
-    if new_people or new_punches:  # new punches may bring placeholders
+    rows = {
+        "raw.employee_raw": _raw_rows(layers, "raw.employee_raw", "staging.employee_staging", only_this_load)[0],
+        "raw.timesheet_raw": _raw_rows(layers, "raw.timesheet_raw", "curated.timesheet", only_this_load)[0],
+    }
+    stage_employees(layers, rules, **scope)
+    new_punches = stage_timesheets(layers, rules, **scope)  # may bring placeholders
+    staged = "staging.employee_staging"
+    if layers.position(staged) > layers.consumed("curated.employee", staged):
         load_employees(layers, rules, on_violation=on_violation)
     if new_punches:
         load_timesheets(layers, rules, on_violation=on_violation, null_safe=null_safe)
@@ -223,4 +253,12 @@ def refresh(
         junk_summary(layers.read("raw.timesheet_raw"), rules),
         results,
         paths,
+        _by_table(rows, column_formats),
+        _by_table(rows, lambda raw, fields: unreadable_texts(raw, fields, rules)),
     )
+
+
+def _by_table(rows: dict[str, DataFrame], told: Callable[[DataFrame, dict], DataFrame]) -> DataFrame:
+    fields = {"raw.employee_raw": EMPLOYEE_FIELDS, "raw.timesheet_raw": TIMESHEET_FIELDS}
+    frames = [told(raw, fields[table]).withColumn("table", F.lit(table)) for table, raw in rows.items()]
+    return frames[0].unionByName(frames[1])

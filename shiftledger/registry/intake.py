@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftledger.functions import without_null_tokens
-from shiftledger.plans.refresh import load_raw
+from shiftledger.plans.clean import clean_employees
+from shiftledger.plans.formats import column_formats
+from shiftledger.plans.refresh import load_employees, load_raw, load_timesheets, stage_timesheets
 from shiftledger.registry import query
+from shiftledger.registry.curation import AS_TIMESTAMP, JUNK, STRIPPED_ID
 from shiftledger.registry.bridge import RAW_STAFF, RULES, raw_employees, raw_timesheets, sql, table
 from shiftledger.schemas import EMPLOYEE_FIELDS, TIMESHEET_FIELDS
 from shiftledger.session import new_folder
@@ -250,3 +253,91 @@ def _(spark, sf):
     from raw_ts group by 1"""))
 def _(spark, sf):
     return _loads(spark, sf, "append")
+
+
+@query("src12_resumed_load", sql("raw_ts", f"""
+    raw as (select {_read_sql(TIMESHEET_COLUMNS)} from raw_ts),
+    typed as (select {STRIPPED_ID} as client_employee_id, {AS_TIMESTAMP.format("punch_in_datetime")} as punch_in,
+        {AS_TIMESTAMP.format("punch_out_datetime")} as punch_out from raw)
+    select client_employee_id, count(*) as punches from (select distinct * from typed where not {JUNK.format("client_employee_id")})
+    group by 1"""))
+def _(spark, sf):
+    """Runs that stop after raw, after staging and after the curated employees, each resumed by the next."""
+    folder, root = new_folder(spark, "resumed"), new_folder(spark, "layers")
+    raw = raw_timesheets(spark, sf).withColumn("punch_apply_date", F.substring("punch_out_datetime", 1, 10))
+    scheduled = F.col("scheduled_start_datetime") != "nan"
+    only = {"only_this_load": True}
+
+    def next_run(part):
+        layers = Layers(spark, root)
+        if part is not None:
+            _write(part, folder)
+        load_raw(layers, "raw.timesheet_raw", folder, TIMESHEET_COLUMNS, RULES, mode="new_files", recursive=False)
+        return layers
+
+    next_run(raw.where(scheduled))
+    stage_timesheets(next_run(raw.where(~scheduled)), RULES, **only)
+    layers = next_run(None)
+    stage_timesheets(layers, RULES, **only)
+    load_employees(layers, RULES)
+    layers = next_run(None)
+    if stage_timesheets(layers, RULES, **only):
+        load_timesheets(layers, RULES)
+    if stage_timesheets(next_run(None), RULES, **only):
+        raise RuntimeError("a load that is curated is still pending")
+    return layers.read("curated.timesheet").groupBy("client_employee_id").agg(F.count(F.lit(1)).alias("punches"))
+
+
+@query("src12_same_name_in_folders", """
+    select l_linestatus || '/punches.csv' as source, count(*) as n from lineitem group by 1""")
+def _(spark, sf):
+    """Files of one name in several folders are different files."""
+    folder = new_folder(spark, "folders")
+    layers = Layers(spark, new_folder(spark, "raw"))
+    items = table(spark, sf, "lineitem").select(F.col("l_suppkey").cast("string").alias("client_employee_id"), "l_linestatus")
+    for row in items.select("l_linestatus").distinct().orderBy("l_linestatus").collect():
+        _write(items.where(F.col("l_linestatus") == row["l_linestatus"]).drop("l_linestatus"), f"{folder}/{row['l_linestatus']}/punches.csv")
+        load_raw(layers, "raw.timesheet_raw", folder, TIMESHEET_COLUMNS, RULES, mode="new_files", recursive=True)
+    parts = F.split("source_path", "/")
+    rows = layers.read("raw.timesheet_raw").withColumn("source", F.concat_ws("/", F.element_at(parts, -3), F.element_at(parts, -2)))
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+_DAYS = {0: "d/M/yyyy", 1: "M/d/yyyy", 2: "yyyy-MM-dd"}
+
+
+def _dated_files(spark, sf) -> Layers:
+    """Employees in three files, each with another way to write dates; the end dates are of the first days of a month."""
+    folder, layers = new_folder(spark, "dated"), Layers(spark, new_folder(spark, "layers"))
+    orders = table(spark, sf, "orders")
+    for part, shape in _DAYS.items():
+        early = F.date_add(F.trunc("o_orderdate", "MM"), (F.col("o_orderkey") % 12).cast("int"))
+        _write(
+            orders.where(F.col("o_orderkey") % 3 == part).select(
+                F.col("o_orderkey").cast("string").alias("client_employee_id"), F.date_format("o_orderdate", shape).alias("hire_date"),
+                F.date_format(early, shape).alias("term_date"), F.lit(str(part)).alias("first_name"),
+            ).coalesce(1),
+            folder,
+        )
+    load_raw(layers, "raw.employee_raw", folder, EMPLOYEE_COLUMNS, RULES, mode="append", recursive=False)
+    return layers
+
+
+@query("cln2_format_by_file", """
+    select cast(o_orderkey as varchar) as client_employee_id, cast(o_orderdate as date) as hire_date from orders""")
+def _(spark, sf):
+    people = clean_employees(_dated_files(spark, sf).read("raw.employee_raw"), RULES)
+    return people.select("client_employee_id", "hire_date")
+
+
+@query("cln2_ambiguous_columns", """
+    select cast(o_orderkey % 3 as varchar) as file, name as "column", count(*) as texts,
+        o_orderkey % 3 < 2 and name = 'term_date' as ambiguous,
+        case when o_orderkey % 3 = 2 then 'not slashed' when o_orderkey % 3 = 0 and name = 'hire_date' then 'day first'
+            else 'month first' end as format
+    from orders, (values ('hire_date'), ('term_date')) as names(name) group by all""")
+def _(spark, sf):
+    raw = _dated_files(spark, sf).read("raw.employee_raw")
+    told = column_formats(raw, EMPLOYEE_FIELDS).where(F.col("texts") > 0)
+    files = raw.select("source_path", F.col("first_name").alias("file")).distinct()
+    return told.join(files, "source_path").select("file", "column", "texts", "ambiguous", "format")

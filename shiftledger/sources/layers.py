@@ -12,7 +12,7 @@ import time
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,58 +25,70 @@ from shiftledger.operators.constraints import (
 )
 from shiftledger.schemas import MONTHLY, TABLES
 
-_COMMITS = "table string, path string, replaces boolean, seq long"
+_COMMITS = "table string, path string, replaces boolean, seq long, consumed map<string,long>"
 
 
 class Layers:
     """The tables of the raw, staging, curated and quality layers under one root.
 
     One writer at a time, as the load steps follow one another.
+
+    A commit also says how far its table has consumed others: their position then. So a step takes up whatever the last
+    step that succeeded has not, and a stopped run is resumed by the next, whoever starts it.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.written: dict[str, str | None] = {}  # the last load of each table by this object
 
-    def _live_paths(self, table: str) -> list[str]:
+    def _entries(self, table: str) -> list[Row]:
+        """The commits of a table, in order."""
         try:
             log = self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
+            return log.where(F.col("table") == table).orderBy("seq").collect()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return []
-        own = log.where(F.col("table") == table)
-        last = own.where("replaces").agg(F.max("seq").alias("seq")).first()["seq"]
-        since = own if last is None else own.where(F.col("seq") >= last)
-        return [row["path"] for row in since.where(F.col("path").isNotNull()).orderBy("seq").collect()]
+
+    def _live_paths(self, table: str, *, after: int = 0, upto: int | None = None) -> list[str]:
+        """The folders that make up the table as of a position, or those of them committed after another."""
+        entries = [entry for entry in self._entries(table) if upto is None or entry["seq"] <= upto]
+        last = max((entry["seq"] for entry in entries if entry["replaces"]), default=0)
+        return [entry["path"] for entry in entries if entry["path"] and entry["seq"] >= max(last, after + 1)]
+
+    def position(self, table: str) -> int:
+        """The last commit of a table, 0 before the first."""
+        return max((entry["seq"] for entry in self._entries(table)), default=0)
+
+    def consumed(self, table: str, source: str) -> int:
+        """The position up to which ``table`` has taken up ``source``; 0 if nothing was."""
+        return max(((entry["consumed"] or {}).get(source, 0) for entry in self._entries(table)), default=0)
+
+    def advance(self, table: str, consumed: dict[str, int]) -> None:
+        """Records that nothing had to be written for what was consumed."""
+        self._commit(table, None, replaces=False, consumed=consumed)
 
     def _folder(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
 
-    def _commit(self, table: str, path: str | None, *, replaces: bool) -> None:
+    def _commit(self, table: str, path: str | None, *, replaces: bool, consumed: dict[str, int] | None = None) -> None:
         """Records a folder of rows; with ``replaces`` and no folder the table becomes empty."""
-        entry = [(table, path, replaces, time.time_ns())]
+        entry = [(table, path, replaces, time.time_ns(), consumed or None)]
         self.spark.createDataFrame(entry, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
-    def read(self, table: str) -> DataFrame:
+    def read(self, table: str, *, after: int = 0, upto: int | None = None) -> DataFrame:
         """The table as last committed; empty before the first commit.
 
-        A table kept in monthly folders also has the column ``month``.
+        With ``upto`` it is the table as of that position, with ``after`` only what was committed later than
+        that; the folders of other commits are not read. A table kept in monthly folders also has the column ``month``.
         """
         schema = TABLES[table]
-        paths = self._live_paths(table)
+        paths = self._live_paths(table, after=after, upto=upto)
         if not paths:
             return self.spark.createDataFrame([], schema)
         columns = [*schema.fieldNames(), *(["month"] if table in MONTHLY else [])]
         return self._scan(table, paths, schema).select(*columns)
 
-    def read_written(self, table: str) -> DataFrame:
-        """The rows that this object loaded last; empty if it loaded none."""
-        schema, path = TABLES[table], self.written.get(table)
-        if path is None:
-            return self.spark.createDataFrame([], schema)
-        return self._scan(table, [path], schema).select(*schema.fieldNames())
-
     def loaded_files(self, table: str) -> DataFrame | None:
         """(path, source_file, length, modified) of the files in the committed loads, None before the first."""
         folders = [f"{self.root}/files/{table}/{path.split('/load=')[1].split('/')[0]}" for path in self._live_paths(table)]
@@ -132,13 +144,15 @@ class Layers:
         replaces: bool,
         on_violation: str = "fail",
         files: DataFrame | None = None,
+        consumed: dict[str, int] | None = None,
     ) -> dict[str, int]:
         """Writes, audits and commits; returns the number of rows and of broken rules.
 
         The audit reads back what was written (only the columns the rules name),
         so it sees what readers will see, whatever tasks were repeated. ``fail``
         drops a bad load by not committing it; ``quarantine`` commits good and
-        bad rows apart, bad rows only if they are not in quarantine yet.
+        bad rows apart, bad rows only if they are not in quarantine yet. ``consumed``
+        (table to position) becomes true with the rows, by the same commit.
         """
         rules = ROW_RULES.get(table, [])
         load = f"{self._folder(table)}/load=run{uuid.uuid4().hex}"
@@ -176,9 +190,8 @@ class Layers:
         if files is not None:
             files.write.parquet(f"{self.root}/files/{table}/{load.split('/load=')[1]}")
         good_rows = counts["rows"] - bad_rows
-        if good_rows or replaces:
-            self._commit(table, good if good_rows else None, replaces=replaces)
-        self.written[table] = good if good_rows else None
+        if good_rows or replaces or consumed:
+            self._commit(table, good if good_rows else None, replaces=replaces, consumed=consumed)
         return {**counts, "rows": good_rows}
 
     def _conform(self, df: DataFrame, table: str) -> DataFrame:

@@ -153,8 +153,9 @@ def test_new_files_are_told_by_path_and_change(spark, tmp_path):
     load = dict(columns=list(EMPLOYEE_FIELDS), rules=RULES, recursive=True, mode="new_files")
     for month, text in (("2024/01", "1"), ("2024/02", "22"), ("2024/01", "333")):  # the last replaces the first
         put(tmp_path, f"{month}/punches.csv", f"client_employee_id\n{text}\n")
+        before = layers.position("raw.employee_raw")
         load_raw(layers, "raw.employee_raw", str(tmp_path), **load)
-        assert rows(layers.read_written("raw.employee_raw"), "client_employee_id") == [(text,)]
+        assert rows(layers.read("raw.employee_raw", after=before), "client_employee_id") == [(text,)]
     assert rows(layers.read("raw.employee_raw"), "client_employee_id") == [("1",), ("22",), ("333",)]
     paths = {row["source_path"] for row in layers.read("raw.employee_raw").collect()}
     assert len(paths) == 2 and all(path.endswith("punches.csv") for path in paths)
@@ -277,6 +278,71 @@ def test_refresh_of_one_load_equals_refresh_of_all(spark, sources):
     assert latest.read("staging.timesheet_staging").count() < every.read("staging.timesheet_staging").count()
 
 
+class Killed(Exception):
+    pass
+
+
+def stopped_after(monkeypatch, commits):
+    """Layers that die after so many commits."""
+    made = []
+
+    def commit(self, *args, **named):
+        real(self, *args, **named)
+        made.append(args[0])
+        if len(made) == commits:
+            raise Killed
+
+    real = Layers._commit
+    monkeypatch.setattr(Layers, "_commit", commit)
+
+
+RESUMED = {
+    "raw.employee_raw": ["client_employee_id", "source_file"], "raw.timesheet_raw": ["client_employee_id", "punch_in_datetime"],
+    "curated.employee": ["client_employee_id", "full_name", "hire_date", "is_placeholder"], "curated.timesheet": CURATED,
+}
+
+
+@pytest.mark.parametrize("commits", [2, 4, 6])  # after raw, after staging, after curated.employee
+def test_a_stopped_run_is_resumed(spark, sources, monkeypatch, commits):
+    """Killed after each commit of the second of three loads, the next run ends as an unbroken one."""
+    roots = {kind: new_folder(spark, "run") for kind in ("whole", "broken")}
+    options = {"mode": "new_files", "only_this_load": True}
+    put(sources, "employees/b.csv", "client_employee_id|first_name|hire_date\nE3|Cy|2023-01-01\nE1|Anna|2020-01-05\n")
+    put(sources, "timesheets/u.csv", PUNCHES.replace("2022-", "2023-").replace("X7", "X8"))
+    run(spark, sources, roots["whole"], **options)
+    with monkeypatch.context() as patch, pytest.raises(Killed):
+        stopped_after(patch, commits)
+        run(spark, sources, roots["broken"], **options)
+    put(sources, "timesheets/v.csv", PUNCHES.replace("2022-", "2024-").replace("X7", "X9"))
+    for root in roots.values():
+        run(spark, sources, root, **options)
+    whole, broken = (Layers(spark, root) for root in roots.values())
+    for table, columns in RESUMED.items():
+        assert rows(broken.read(table), *columns) == rows(whole.read(table), *columns), table
+    assert whole.read("curated.timesheet").count() == 6
+
+
+def test_positions_and_tables_as_of_them(spark):
+    layers, table = Layers(spark, new_folder(spark, "layers")), "staging.timesheet_staging"
+    assert layers.position(table) == layers.consumed(table, "raw.timesheet_raw") == 0
+    layers.append(staged(spark, 1), table, consumed={"raw.timesheet_raw": 7})
+    first = layers.position(table)
+    layers.append(staged(spark, 2, 3), table)
+    second = layers.position(table)
+    layers.advance(table, {"raw.timesheet_raw": 9})
+    assert layers.consumed(table, "raw.timesheet_raw") == 9 and layers.position(table) > second > first
+    layers.replace(staged(spark, 4, 5, 6, 7), table)
+    assert [layers.read(table, upto=at).count() for at in (0, first, second)] == [0, 1, 3]
+    assert layers.read(table, after=first, upto=second).count() == 2 and layers.read(table, after=first).count() == 4
+
+
+def test_loads_of_junk_alone_are_consumed(spark, sources):
+    put(sources, "timesheets/t.csv", PUNCHES.splitlines()[0] + "\n1111|1|2022-01-04||||\n")
+    done = run(spark, sources, new_folder(spark, "run"), mode="new_files", only_this_load=True)
+    raw = "raw.timesheet_raw"
+    assert done.layers.consumed("curated.timesheet", raw) == done.layers.position(raw) > 0
+
+
 def test_refresh_stops_or_quarantines(spark, sources):
     bad = PUNCHES + "E1|8|2022-01-05|2022-01-05 17:00|2022-01-05 09:00||\nE2|8|bad-day|2022-01-06 08:00|2022-01-06 09:00||\n"
     put(sources, "timesheets/t.csv", bad)
