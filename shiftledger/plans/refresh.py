@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shiftledger.operators import ConstraintViolation, insert_absent, upsert
 from shiftledger.operators.constraints import BROKEN, ROW_RULES, mark_broken, orphan_keys
-from shiftledger.plans import quality, report
+from shiftledger.plans import edits, quality, report
 from shiftledger.plans.clean import clean_employees, clean_timesheets, junk_summary, placeholders, unreadable_texts
 from shiftledger.plans.curate import PUNCH_KEY, curate_employees, curate_timesheets
 from shiftledger.plans.formats import column_formats
@@ -128,7 +128,9 @@ def load_employees(layers: Layers, rules: Rules, *, on_violation: str = "fail")
     if staged.isEmpty():
         log.warning("no staged employees, nothing to curate")
         return
-    merge(layers, curate_employees(staged, rules), "curated.employee", rules, on_violation, consumed)
+    edits.apply_stored(layers, rules)
+    loaded = edits.with_edits(layers, curate_employees(staged, rules), rules)
+    merge(layers, loaded, "curated.employee", rules, on_violation, consumed)
 
 
 def _held_near(held: DataFrame, incoming: DataFrame, *, null_safe: bool) -> DataFrame:
@@ -233,6 +235,7 @@ def refresh(
     }
     stage_employees(layers, rules, **scope)
     new_punches = stage_timesheets(layers, rules, **scope)  # may bring placeholders
+    edits.apply_stored(layers, rules)
     staged = "staging.employee_staging"
     if layers.position(staged) > layers.consumed("curated.employee", staged):
         load_employees(layers, rules, on_violation=on_violation)

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from shiftledger.operators import apply_changes
 from shiftledger.plans.curate import curate_employees
+from shiftledger.plans.edits import store_changes
+from shiftledger.plans.refresh import load_employees
 from shiftledger.registry import query
 from shiftledger.registry.bridge import RULES, table
 from shiftledger.registry.tables import BEFORE
 from shiftledger.schemas import AUDIT_FIELDS, EMPLOYEE_FIELDS
+from shiftledger.session import new_folder
+from shiftledger.sources import Layers
 
 ID = "client_employee_id"
 SHOWN = [
@@ -19,7 +23,7 @@ SHOWN = [
 ]
 
 
-def _people(spark, sf) -> DataFrame:
+def _staged(spark, sf) -> DataFrame:
     known = {
         ID: F.col("c_custkey").cast("string"),
         "first_name": F.col("c_mktsegment"),
@@ -29,10 +33,13 @@ def _people(spark, sf) -> DataFrame:
         "hire_date": F.lit("1994-03-01"),
         "active_status": F.lit(True),
     }
-    staged = table(spark, sf, "customer").select(*[
+    return table(spark, sf, "customer").select(*[
         known.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in EMPLOYEE_FIELDS.items()
     ])
-    return curate_employees(staged, RULES).withColumns(
+
+
+def _people(spark, sf) -> DataFrame:
+    return curate_employees(_staged(spark, sf), RULES).withColumns(
         {name: F.lit(BEFORE).cast(kind) for name, kind in AUDIT_FIELDS.items()}
     )
 
@@ -150,3 +157,43 @@ def _(spark, sf):
 def _(spark, sf):
     _, refused = apply_changes(_people(spark, sf), _changes(spark, sf), RULES)
     return refused
+
+
+_RELOADED_NAME = "case when c_custkey % 7 = 0 then concat_ws(' ', nullif(first_name, ''), 'M', 'L' || c_custkey) else {} end"
+
+
+@query("ch_after_reload", f"""{_VIEWS},
+    shown as (select * replace (case when c_custkey % 5 = 0 then 'F' || c_nationkey else department_name end as department_name),
+            {_NAME}, c_custkey
+        from joined left join customer on client_employee_id = cast(c_custkey as varchar))
+    select client_employee_id, first_name, case when c_custkey % 7 = 0 then 'L' || c_custkey else last_name end as last_name,
+        {_RELOADED_NAME.format("full_name")} as full_name, department_name, hire_date, term_date,
+        case when c_custkey is null then tenure_days else date '2002-01-01' - hire_date end as tenure_days,
+        active_status, is_placeholder
+    from shown""")
+def _(spark, sf):
+    """Load, stored changes, and two more loads: the same records again, then some with other departments and names."""
+    layers = Layers(spark, new_folder(spark, "edited"))
+    staged, key = _staged(spark, sf), F.col(ID).cast("long")
+    layers.replace(staged, "staging.employee_staging")
+    load_employees(layers, RULES)
+    store_changes(layers, _changes(spark, sf), RULES)
+    other = staged.withColumns({
+        "department_name": F.when(key % 5 == 0, F.concat(F.lit("F"), F.substring("department_name", 2, 9))).otherwise(F.col("department_name")),
+        "last_name": F.when(key % 7 == 0, F.concat(F.lit("L"), F.col(ID))).otherwise(F.col("last_name")),
+    })
+    for again in (staged, other):
+        layers.replace(again, "staging.employee_staging")
+        load_employees(layers, RULES)
+    return layers.read("curated.employee").select(*SHOWN)
+
+
+@query("ch_log", f"""{_VIEWS} select op, count(*) as n, min(seq) as first, max(seq) as last from changes group by 1""")
+def _(spark, sf):
+    """The stored log, refused changes included."""
+    layers = Layers(spark, new_folder(spark, "edited"))
+    layers.replace(_people(spark, sf), "curated.employee")
+    store_changes(layers, _changes(spark, sf), RULES)
+    return layers.read("changes.employee").groupBy("op").agg(
+        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"), F.max("seq").alias("last")
+    )

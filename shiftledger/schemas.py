@@ -113,6 +113,16 @@ STAGING_TIMESHEET = struct({**TIMESHEET_FIELDS, **LINEAGE_FIELDS, "created_at":
 CURATED_EMPLOYEE = struct({**CURATED_EMPLOYEE_FIELDS, **AUDIT_FIELDS})
 CURATED_TIMESHEET = struct({**CURATED_TIMESHEET_FIELDS, "created_at": T.TimestampType()})
 
+EMPLOYEE_CHANGES = struct({
+    "client_employee_id": T.StringType(),
+    "op": T.StringType(),
+    "seq": T.LongType(),
+    "fields": T.MapType(T.StringType(), T.StringType()),
+    "batch": T.LongType(),
+    "as_of": T.DateType(),
+    "made_at": T.TimestampType(),
+})
+
 CHECK_RESULTS = struct({
     "run_id": T.StringType(),
     "run_at": T.TimestampType(),
@@ -130,6 +140,7 @@ TABLES = {
     "staging.timesheet_staging": STAGING_TIMESHEET,
     "curated.employee": CURATED_EMPLOYEE,
     "curated.timesheet": CURATED_TIMESHEET,
+    "changes.employee": EMPLOYEE_CHANGES,
     "quality.check_results": CHECK_RESULTS,
 }
 
