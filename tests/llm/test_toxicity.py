@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -98,3 +99,25 @@ def test_no_labels_and_no_rows(spark, tables):
     assert {r.score for r in toxic_passages(docs, none).select("score").distinct().collect()} and train(docs, none).tokens.size == 0
     assert toxic_passages(docs.limit(0), labels).collect() == []
     assert toxicity.train(docs, labels.filter("toxic = 0")).tokens.size == 0
+
+
+def test_the_scan_is_linear():
+    """A drifting text with a million scattered positive tokens: quadratic time would take hours."""
+    rng = np.random.default_rng(0)
+    found = segments(rng.random(1_000_000) + 0.5, np.arange(1_000_000) * 40)
+    assert len(found) == 1_000_000
+    mixed = rng.normal(0, 1, 300_000)
+    assert len(segments(mixed, np.arange(300_000), drift=0.0)) > 1000
+
+
+@pytest.mark.parametrize(("size", "recall"), [("sf0.01", 0.6), ("sf0.1", 0.9)])  # 45 and 449 toxic labels
+def test_held_out_labels_of_the_given_documents(spark, size, recall):
+    folder = f"/root/testdata/{size}"
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    told = labels.filter("toxic is not null").select("doc_id", "toxic")
+    found = toxic_passages(docs, labels).filter("held_out").join(told, "doc_id").select("toxic", "predicted").collect()
+    toxic = [r.predicted for r in found if r.toxic]
+    assert sum(toxic) >= recall * len(toxic) > 0
+    assert not any(r.predicted for r in found if not r.toxic)
