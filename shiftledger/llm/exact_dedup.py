@@ -266,25 +266,24 @@ def exact_copies(
     )
 
 
-def _keyed_rows(batches: Iterator[pa.RecordBatch], text: str, doc_id: str) -> Iterator[pa.RecordBatch]:
+def _keyed_rows(batches: Iterator[pa.RecordBatch], text: int, doc_id: int) -> Iterator[pa.RecordBatch]:
+    """Rows that hold a document as one struct, and its key: the digest of its text, and its id."""
     for batch in batches:
-        data, offsets = bytes_of(batch.column(batch.schema.get_field_index(text)).cast(pa.string()))
+        fields = batch.column(0).flatten()
+        data, offsets = bytes_of(fields[text].cast(pa.string()))
         view = memoryview(lowered(data))
-        ids = batch.column(batch.schema.get_field_index(doc_id)).to_pylist()
         keys = [
             hashlib.sha256(view[a:b]).digest() + (b"" if i is None else i.to_bytes(8, "big", signed=True))
-            for a, b, i in zip(offsets[:-1], offsets[1:], ids, strict=True)
+            for a, b, i in zip(offsets[:-1], offsets[1:], fields[doc_id].to_pylist(), strict=True)
         ]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "row key"]
-        )
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], ["held", "key"])
 
 
 def drop_exact_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The documents without their exact copies, with all their columns.
+    """The documents without their exact copies, with all their columns, whatever their names.
 
-    The rows that stay are those of :func:`exact_copies`. The id must be a
-    ``long`` column.
+    The rows that stay are those of :func:`exact_copies`: null text counts as empty, of copies the largest id stays, a null id
+    being the lowest, and of repeated rows one. An empty table stays empty. The id must be a ``long`` column.
     """
     spark = docs.sparkSession
     folder = new_folder(spark, "digests")
@@ -293,11 +292,12 @@ def drop_exact_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     stay = groups.select(
         F.when(F.col("keep_id").isNull(), F.col("digest"))
         .otherwise(F.concat("digest", F.unhex(F.lpad(F.hex("keep_id"), 16, "0"))))
-        .alias("row key")
+        .alias("key")
     )
-    keyed = docs.mapInArrow(
-        lambda batches: _keyed_rows(batches, text, doc_id),
-        T.StructType([*docs.schema.fields, T.StructField("row key", T.BinaryType())]),
+    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("held"))
+    places = docs.columns.index(text), docs.columns.index(doc_id)
+    keyed = held.mapInArrow(
+        lambda batches: _keyed_rows(batches, *places), T.StructType([*held.schema.fields, T.StructField("key", T.BinaryType())])
     )
-    return keyed.join(stay, "row key", "left_semi").dropDuplicates(["row key"]).select(*docs.columns)
-
+    once = keyed.join(stay, "key", "left_semi").dropDuplicates(["key"])
+    return once.select(*[F.col("held")[c].alias(c) for c in docs.columns])

@@ -314,32 +314,36 @@ def near_copies(
     )
 
 
-def _marked_rows(batches: Iterator[pa.RecordBatch], text: str, words: int) -> Iterator[pa.RecordBatch]:
+def _marked_rows(batches: Iterator[pa.RecordBatch], text: int, words: int) -> Iterator[pa.RecordBatch]:
+    """Rows that hold a document as one struct, and the digests of its text."""
     read = Grams(words)
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index(text)).cast(pa.string())
+        column = batch.column(0).flatten()[text].cast(pa.string())
         told = [digests(*read(data, offsets)) for _, _, data, offsets in blocks(column)]
         flat = np.concatenate(told) if told else np.zeros((0, 2), np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(flat[:, 0]), pa.array(flat[:, 1])], [*batch.schema.names, "near h1", "near h2"]
-        )
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["held", "h1", "h2"])
 
 
 def drop_near_copies(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *, words: int = WORDS, similarity: float = SIMILARITY,
     recall: float = RECALL,
 ) -> DataFrame:
-    """One document of each class of :func:`near_copies`, the one with the smallest id, with all its columns."""
+    """One document of each class of :func:`near_copies`, the one with the smallest id, with all its columns, whatever their names.
+
+    Null text counts as empty, and texts without words form one class; a null id stays only where its class has no other; of
+    repeated rows one stays. An empty table stays empty.
+    """
     bands, rows = bands_and_rows(similarity, recall)
     signed = signatures(docs, text, doc_id, words, bands, rows)
     classes = _classes(docs, signed, text, doc_id, words, similarity)
     null_id = F.lit(-(2**63)).cast("long")
-    stay = classes.select("keeper.*").distinct().select(
-        F.col("h1").alias("near h1"), F.col("h2").alias("near h2"), F.coalesce("first_id", null_id).alias("near id")
-    )
-    marked = docs.mapInArrow(
-        lambda b: _marked_rows(b, text, words),
-        T.StructType([*docs.schema.fields, T.StructField("near h1", T.LongType()), T.StructField("near h2", T.LongType())]),
-    ).withColumn("near id", F.coalesce(F.col(doc_id).cast("long"), null_id))
-    keys = ["near h1", "near h2", "near id"]
-    return marked.join(stay, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    stay = classes.select("keeper.*").distinct().select("h1", "h2", F.coalesce("first_id", null_id).alias("id"))
+    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("held"))
+    place = docs.columns.index(text)
+    marked = held.mapInArrow(
+        lambda b: _marked_rows(b, place, words),
+        T.StructType([*held.schema.fields, T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())]),
+    ).withColumn("id", F.coalesce(F.col("held")[doc_id].cast("long"), null_id))
+    keys = ["h1", "h2", "id"]
+    once = marked.join(stay, keys, "left_semi").dropDuplicates(keys)
+    return once.select(*[F.col("held")[c].alias(c) for c in docs.columns])

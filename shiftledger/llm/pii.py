@@ -309,9 +309,12 @@ def with_surrogates(docs: DataFrame, key: str, text: str = "text", name: str = "
     """The documents with surrogates in their texts, and the number of entities replaced (``name``).
 
     The same key gives the same surrogates for the same corpus. Null texts stay null; texts without entities stay as they
-    are; repeated rows are treated alike; an empty table gives no rows. All other columns are kept.
+    are; repeated rows are treated alike; an empty table gives no rows. All other columns are kept; where one of them has the
+    name of the count, the count's name gets underscores until it is free.
     """
     spark = docs.sparkSession
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
     folder = new_folder(spark, "entities")
     held = docs[text].cast("string")
     others = [F.lit(None).cast(docs.schema[c].dataType).alias(c) if c == text else docs[c] for c in docs.columns]

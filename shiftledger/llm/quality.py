@@ -229,6 +229,11 @@ def quality_scores(
 def keep_good(
     docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
-    """The documents whose score reaches the threshold, with their columns."""
+    """The documents whose score reaches the threshold, with all their columns, whatever their names.
+
+    Null and empty texts have the score of their (zero) statistics. Repeated rows stay or go together; an empty table stays empty.
+    """
     model = train(docs, labels, text=text, doc_id=doc_id)
-    return with_score(docs, model, text, "the score").filter(F.col("the score") >= threshold).drop("the score")
+    held = docs.select(docs[text].alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("held"))
+    good = with_score(held, model, name="score").filter(F.col("score") >= threshold)
+    return good.select(*[F.col("held")[c].alias(c) for c in docs.columns])
