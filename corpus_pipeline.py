@@ -17,6 +17,8 @@ from shiftledger.llm.quality import keep_good
 from shiftledger.llm.queries import table, tokenizer_path
 from shiftledger.session import new_folder
 
+CACHE_IDS = 2_000_000  # a third of the usual table of known chunks: the executors also hold what earlier stages left
+
 
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return keep_good(docs, table(spark, folder, "labels"))
@@ -36,7 +38,7 @@ def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     buckets = new_folder(spark, "buckets")
-    write_buckets(pack(docs, tokenizer_path()), buckets)
+    write_buckets(pack(docs, tokenizer_path(), cache_ids=CACHE_IDS), buckets)
     return read_buckets(spark, buckets)
 
 

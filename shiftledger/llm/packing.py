@@ -71,11 +71,11 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 class ChunkTokenizer:
     """Token ids of byte blocks by way of their distinct chunks."""
 
-    def __init__(self, path: str, border: str, split_words: bool) -> None:
+    def __init__(self, path: str, border: str, split_words: bool, cache_ids: int = CACHE_IDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         from tokenizers import Tokenizer
 
-        self.split_words = split_words
+        self.split_words, self.cache_ids = split_words, cache_ids
         self.tokenizer = Tokenizer.from_file(path)
         self.border = border  # a special token, set between chunks
         self.border_id = self.tokenizer.token_to_id(border)
@@ -143,7 +143,7 @@ class ChunkTokenizer:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         hashes, at, back = np.unique(self.hasher(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.ids) > CACHE_IDS:
+        if len(self.ids) > self.cache_ids:
             self._forget()
         place = np.searchsorted(self.known, hashes)
         new = place == len(self.known)
@@ -166,9 +166,10 @@ def piece_lengths(tokens: int, longest: int = LONGEST) -> list[int]:
 
 
 def _piece_rows(
-    batches: Iterator[pa.RecordBatch], path: str, border: str, split_words: bool, longest: int, end_id: int, with_ids: bool
+    batches: Iterator[pa.RecordBatch], path: str, border: str, split_words: bool, longest: int, end_id: int, with_ids: bool,
+    cache_ids: int,
 ) -> Iterator[pa.RecordBatch]:
-    chunked = ChunkTokenizer(path, border, split_words)
+    chunked = ChunkTokenizer(path, border, split_words, cache_ids)
     for batch in batches:
         docs = batch.column(0)
         for low, high, data, offsets in blocks(batch.column(1)):
@@ -206,6 +207,7 @@ def pack(
     longest: int = LONGEST,
     end_id: int = END_ID,
     with_ids: bool = True,
+    cache_ids: int = CACHE_IDS,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
 
@@ -213,14 +215,14 @@ def pack(
     its vocabulary must treat white space as a border. ``border`` is one of its special
     tokens. ``split_words`` holds for tokenizers that ignore the case of A-Z and whose
     pattern parts runs of letters from runs of punctuation. ``longest`` is a power of two. Without ``with_ids`` the column
-    ``ids`` is null. Null and empty texts consist of the end id alone. Repeated rows are
+    ``ids`` is null; ``cache_ids`` bounds a task's table of known chunks. Null and empty texts consist of the end id alone. Repeated rows are
     packed each on their own; a null id stays null. Other columns are left out.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
     pieces = rows.mapInArrow(
-        lambda batches: _piece_rows(batches, tokenizer, border, split_words, longest, end_id, with_ids), PIECE
+        lambda batches: _piece_rows(batches, tokenizer, border, split_words, longest, end_id, with_ids, cache_ids), PIECE
     )
     return pieces.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens",

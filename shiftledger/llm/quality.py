@@ -226,6 +226,17 @@ def quality_scores(
     )
 
 
+def _rated_rows(batches: Iterator[pa.RecordBatch], model: Trees, text: int) -> Iterator[pa.RecordBatch]:
+    """Rows that hold a document as one struct, and its score; the text is read in the struct, not sent twice."""
+    measure = Statistics()
+    for batch in batches:
+        column = batch.column(0).flatten()[text].cast(pa.string())
+        found = [model.score(measure(data, offsets)) for _, _, data, offsets in blocks(column)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(np.concatenate(found) if found else np.zeros(0))], ["held", "score"]
+        )
+
+
 def keep_good(
     docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
@@ -234,6 +245,8 @@ def keep_good(
     Null and empty texts have the score of their (zero) statistics. Repeated rows stay or go together; an empty table stays empty.
     """
     model = train(docs, labels, text=text, doc_id=doc_id)
-    held = docs.select(docs[text].alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("held"))
-    good = with_score(held, model, name="score").filter(F.col("score") >= threshold)
+    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("held"))
+    place = docs.columns.index(text)
+    schema = held.withColumn("score", F.lit(None).cast("double")).schema
+    good = held.mapInArrow(lambda batches: _rated_rows(batches, model, place), schema).filter(F.col("score") >= threshold)
     return good.select(*[F.col("held")[c].alias(c) for c in docs.columns])
