@@ -336,6 +336,25 @@ def test_positions_and_tables_as_of_them(spark):
     assert layers.read(table, after=first, upto=second).count() == 2 and layers.read(table, after=first).count() == 4
 
 
+def test_dates_are_read_the_way_round_of_their_file(spark, sources):
+    put(sources, "employees/b.csv", "client_employee_id|first_name|hire_date|term_date|dob\nE3|Cy|13/04/2024|01/02/2024|x\nE4|Di|03/04/2024||\n")
+    put(sources, "employees/c.csv", "client_employee_id|first_name|hire_date\nE5|Ed|03/04/2024\nE6|Fi|04/13/2024\nE7|Gil|14/04/2024\n")
+    done = run(spark, sources, new_folder(spark, "run"), mode="new_files", only_this_load=True, on_violation="quarantine")
+    hired = dict(rows(done.layers.read("staging.employee_staging").where("client_employee_id like 'E%'"), "client_employee_id", "hire_date"))
+    assert hired == {
+        "E1": date(2020, 1, 5), "E2": date(2021, 1, 7), "E3": date(2024, 4, 13), "E4": date(2024, 4, 3),
+        "E5": date(2024, 3, 4), "E6": date(2024, 4, 13), "E7": None,
+    }
+    told = done.date_formats.where("slashed > 0 and table = 'raw.employee_raw'")
+    told = told.withColumn("file", F.element_at(F.split("source_path", "/"), -1))
+    assert rows(told, "file", "column", "format", "ambiguous") == [
+        ("a.csv", "hire_date", "month first", True), ("b.csv", "hire_date", "day first", False),
+        ("b.csv", "term_date", "month first", True), ("c.csv", "hire_date", "mixed", False),
+    ]
+    lost = done.unreadable.where("texts > values and table = 'raw.employee_raw'")
+    assert rows(lost, "column", "texts", "values") == [("dob", 1, 0), ("hire_date", 7, 6)]
+
+
 def test_loads_of_junk_alone_are_consumed(spark, sources):
     put(sources, "timesheets/t.csv", PUNCHES.splitlines()[0] + "\n1111|1|2022-01-04||||\n")
     done = run(spark, sources, new_folder(spark, "run"), mode="new_files", only_this_load=True)
