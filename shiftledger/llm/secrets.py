@@ -3,7 +3,7 @@
 Only built-in DataFrame functions. The rules find assigned passwords and tokens, access
 key ids and long hex strings. What they find, over the whole corpus, is the labelled
 sample of random strings; all other runs of at least ``SHORTEST`` identifier characters are the
-sample of ordinary identifiers. Counts of neighbouring characters in both give two
+sample of ordinary identifiers. A run that holds spans of the rules is cut there, and its other pieces count as runs. Counts of neighbouring characters in both give two
 first-order Markov models, whose log-likelihood ratio is a table of one number per pair of
 ASCII characters. Runs that score above zero leave the second sample, which may hold secrets
 too, and the models are fitted once more. A run outside the rules' spans whose sum passes
@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftledger.llm.patterns import matches
+from shiftledger.llm.patterns import FOUND, matches
 from shiftledger.session import new_folder
 
 # The rules' patterns and least lengths.
@@ -41,6 +41,27 @@ def _spans(found: Column, kind: str) -> Column:
     )
 
 
+def _outside(run: Column, base: Column) -> Column:
+    """The pieces of a run, at least ``SHORTEST`` characters each, that lie outside the rules' spans."""
+    touching = F.sort_array(F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])))
+    cuts = F.concat(
+        F.transform(touching, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))),
+        F.array(F.struct(run["end"].alias("start"), run["end"].alias("end"))),
+    )
+    start = F.struct(run["start"].alias("at"), F.array().cast(FOUND).alias("found"))
+
+    def cut(held: Column, one: Column) -> Column:
+        token = F.substring(run["token"], held["at"] - run["start"] + 1, F.greatest(one["start"] - held["at"], F.lit(0)))
+        piece = F.struct(held["at"].alias("start"), one["start"].alias("end"), token.alias("token"), token.alias("part"))
+        long = one["start"] - held["at"] >= SHORTEST
+        return F.struct(
+            F.greatest(held["at"], one["end"]).alias("at"),
+            F.when(long, F.concat(held["found"], F.array(piece))).otherwise(held["found"]).alias("found"),
+        )
+
+    return F.aggregate(cuts, start, cut)["found"]
+
+
 def scan(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """(doc_id, base, secrets, runs): the rules' spans, their secret parts, and the runs outside of them."""
     rows = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
@@ -51,9 +72,9 @@ def scan(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         "every_run": matches(F.col("text"), RUN),
     }).drop("text")
     rows = rows.withColumn("base", F.concat(*[_spans(F.col(k), k) for k in KINDS[:3]]).cast(SPANS))
-    outside = F.when(F.size("base") == 0, F.col("every_run")).otherwise(F.filter(
-        "every_run", lambda run: ~F.exists("base", lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-    ))
+    outside = F.when(F.size("base") == 0, F.col("every_run")).otherwise(
+        F.flatten(F.transform("every_run", lambda run: _outside(run, F.col("base"))))
+    )
     secrets = F.concat(*[F.transform(F.col(k), lambda x: x["part"]) for k in KINDS[:3]])
     return rows.select("doc_id", "base", secrets.alias("secrets"), outside.alias("runs"))
 

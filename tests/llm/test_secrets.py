@@ -53,6 +53,23 @@ def test_the_models_add_random_strings_only(spark):
     assert not any("markov" in found[i] for i in range(103, 160))
 
 
+def test_pieces_beside_a_rules_span_are_scored(spark):
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    name = lambda: "".join(w.title() for w in prose(rng, 6).split()) + str(rng.randint(0, 99)) + "_of_" + prose(rng, 1)
+    made = [(i, f"{prose(rng, 9)} token={text(40)} {name()} {name()} {prose(rng, 9)}") for i in range(600)]
+    own = "0123456789abcdef" * 2
+    made += [
+        (1000, f"hooks/{own}/Zx9Qv7Lr2Kp8Wm4TnB6sYd1 x"), (1001, f"é {text(24)}/{own}/{text(23)}/{own}"),
+        (1002, f"some_quite_ordinary_name/{own}/{text(13)}"), (1003, "AKIA" + "Z" * 16 + f"-{text(23)}"),
+    ]
+    found = {r.doc_id: r.spans for r in digest(find_secrets(spark.createDataFrame(made, "doc_id long, text string"))).collect()}
+    assert found[1000] == "hex:6:38,markov:38:62"
+    assert found[1001] == "markov:2:27,hex:27:59,markov:59:84,hex:84:116"
+    assert found[1002] == "hex:25:57"
+    assert found[1003] == "access:0:20,markov:20:44"
+
+
 def test_without_samples_nothing_is_added(spark):
     docs = spark.createDataFrame([(1, "anOrdinaryIdentifierHere")], "doc_id long, text string")
     assert [r.spans for r in digest(find_secrets(docs)).collect()] == [""]
