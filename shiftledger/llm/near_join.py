@@ -13,8 +13,10 @@
    one row per node, its number of links and the smallest node it is linked to, never pairs.
 5. Links summed over groups, and the components of the verified links, are the result.
 
-The texts of the nodes that share a bucket are fetched by their ids, which are broadcast
-when there are at most ``BROADCAST_IDS`` of them and joined by shuffle otherwise. No candidate is capped: the links among the nodes of a component are counted exactly.
+The n-gram sets of the nodes that share a bucket come from a second reading of the texts, pruned by a Bloom filter of
+their ids. The filter has a fixed size, so it can always be sent to all tasks; ids that it lets through wrongly
+are dropped by the join with the nodes, so a full filter costs time and no result. Texts are never shuffled. No
+candidate is capped: the links among the nodes of a component are counted exactly.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +42,8 @@ MOST_HASHES = 256
 BLOCK_GRAMS = 1_000_000  # n-grams in a block of a large component
 BLOCK_NODES = 4096
 STRIP = 512  # nodes of a block compared at once
-BROADCAST_IDS = 1_000_000  # ids (8 bytes each) that may be broadcast after they were counted
+FILTER_BITS = 1 << 27  # 16 MB at any number of ids; below 1 % of wrong hits up to 7 million ids
+FILTER_HASHES = 2
 _SALTS = tuple(pow(0x9E3779B97F4A7C15, 2 * i + 3, 1 << 64) | 1 for i in range(64))
 
 
@@ -126,10 +130,37 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], words: int, bands: int, r
             ], ["doc_id", "h1", "h2", "bands"])
 
 
-def _gram_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    read = Grams(words)
+def _filter_places(ids: DataFrame, bits: int) -> np.ndarray:
+    """The Bloom filter of a column ``id``, as ``bits`` / 8 bytes.
+
+    Tasks aggregate the bits of their ids into pieces of 4 KB, of which at most ``bits`` / 32,768 reach the driver.
+    """
+    place = F.explode(F.array(*[
+        F.pmod(F.xxhash64(F.lit(i), "id"), F.lit(bits)).cast("long") + 1 for i in range(FILTER_HASHES)  # bitmaps begin at 1
+    ]))
+    pieces = (
+        ids.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("piece"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    )
+    held = np.zeros(bits // 8, np.uint8)
+    for row in pieces.toLocalIterator():
+        own = np.frombuffer(row["bits"], np.uint8)
+        at = (row["piece"] - 1) * len(own)
+        held[at : at + len(own)] = own[: len(held) - at]
+    return held
+
+
+def _gram_rows(batches: Iterator[pa.RecordBatch], words: int, held: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Digests and n-gram sets of the texts whose places are all set in the filter."""
+    read, bits = Grams(words), held.value
     for batch in batches:
-        for _, _, data, offsets in blocks(batch.column("text")):
+        hit = np.ones(len(batch), bool)
+        for i in range(FILTER_HASHES):
+            place = batch.column(f"place{i}").to_numpy()
+            hit &= (bits[place >> 3] >> (place & 7)) & 1 == 1
+        if not hit.any():
+            continue
+        for _, _, data, offsets in blocks(batch.column("text").filter(pa.array(hit))):
             grams, order, begin = read(data, offsets)
             told = digests(grams, order, begin)
             sets = [np.unique(grams[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
@@ -250,12 +281,13 @@ def _classes(docs: DataFrame, signed: DataFrame, text: str, doc_id: str, words:
         "active",
     )
     null_id = F.lit(-(2**63)).cast("long")
-    ids = active.select(F.coalesce("first_id", null_id).alias("id"))
-    texts = docs.select(
-        F.coalesce(docs[doc_id].cast("long"), null_id).alias("id"), docs[text].cast("string").alias("text")
-    ).join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+    held = spark.sparkContext.broadcast(_filter_places(active.select(F.coalesce("first_id", null_id).alias("id")), FILTER_BITS))
+    own = F.coalesce(docs[doc_id].cast("long"), null_id)
+    texts = docs.select(docs[text].cast("string").alias("text"), *[
+        F.pmod(F.xxhash64(F.lit(i), own), F.lit(FILTER_BITS)).cast("long").alias(f"place{i}") for i in range(FILTER_HASHES)
+    ])
     sets = kept(
-        texts.select("text").mapInArrow(lambda b: _gram_rows(b, words), "h1 long, h2 long, size long, grams binary")
+        texts.mapInArrow(lambda b: _gram_rows(b, words, held), "h1 long, h2 long, size long, grams binary")
         .join(active.select("node", "root", "h1", "h2", "copies"), ["h1", "h2"])
         .dropDuplicates(["h1", "h2"]).select("node", "root", "copies", "size", "grams"),
         "sets",

@@ -90,6 +90,14 @@ def test_large_group_is_cut_into_blocks(spark, monkeypatch):
     assert sorted(found) == sorted(expected(made)[0])
 
 
+def test_a_full_filter_changes_no_result(spark, rows, monkeypatch):
+    """With one piece of the filter for all ids most texts pass wrongly, and the join drops them."""
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    want = sorted([tuple(r) for r in near_copies(docs).collect()], key=order)
+    monkeypatch.setattr(near_join, "FILTER_BITS", 64)
+    assert sorted([tuple(r) for r in near_copies(docs).collect()], key=order) == want
+
+
 def test_bands_reach_the_recall():
     for similarity, recall in ((0.8, 0.9995), (0.9, 0.99), (0.8, 0.9)):
         bands, rows = bands_and_rows(similarity, recall)
