@@ -26,6 +26,7 @@ from shiftledger.sources import Layers
 ID = "client_employee_id"
 LOG, PEOPLE, STAGED = "changes.employee", "curated.employee", "staging.employee_staging"
 NAMES = ("first_name", "middle_name", "last_name")
+AS_OF = "as_of"  # beside the positions of a commit: the day as of which all days of tenure are, 0 if they differ
 
 
 def store_changes(layers: Layers, changes: DataFrame, rules: Rules) -> DataFrame:
@@ -34,7 +35,7 @@ def store_changes(layers: Layers, changes: DataFrame, rules: Rules) -> DataFrame
     A set after which an employee would break a rule of the table is refused whole, before it is logged.
     """
     apply_stored(layers, rules)
-    held = layers.read(PEOPLE)
+    held = layers.read(PEOPLE, parts=layers.parts_of(changes, PEOPLE))
     after, _ = apply_changes(held, changes, rules)
     checks = ROW_RULES[PEOPLE]
     edited = after.join(changes.select(ID).distinct(), ID, "left_semi")
@@ -58,12 +59,16 @@ def apply_stored(layers: Layers, rules: Rules) -> bool:
     after = layers.consumed(PEOPLE, LOG)
     if upto <= after:
         return False
-    pending, people = layers.read(LOG, after=after, upto=upto), layers.read(PEOPLE)
+    pending = layers.read(LOG, after=after, upto=upto)
+    parts = layers.parts_of(pending, PEOPLE)
+    people, consumed = layers.read(PEOPLE, parts=parts), {LOG: upto}
     sets = pending.select("batch", "as_of", F.col("made_at").cast("timestamp_ntz").alias("made_at")).distinct().orderBy("batch")
     for one in sets.collect():  # one, unless a run stopped before
         then = replace(rules, as_of=one["as_of"], run_at=one["made_at"])
         people, _ = apply_changes(people, pending.where(F.col("batch") == one["batch"]), then)
-    layers.replace(people, PEOPLE, consumed={LOG: upto})
+        if one["as_of"].toordinal() != layers.consumed(PEOPLE, AS_OF):
+            consumed[AS_OF] = 0
+    layers.replace(people, PEOPLE, consumed=consumed, parts=parts)
     return True
 
 

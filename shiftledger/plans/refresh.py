@@ -77,14 +77,23 @@ def _raw_rows(layers: Layers, raw: str, consumer: str, only_this_load: bool) ->
 def merge(
     layers: Layers, incoming: DataFrame, table: str, rules: Rules, on_violation: str, consumed: dict[str, int] | None = None
 ) -> None:
-    """Upserts employees. In quarantine only good rows are merged, so a bad update leaves the stored row as it is."""
-    if on_violation == "quarantine":
-        folder = new_folder(layers.spark, "incoming")
-        mark_broken(incoming, ROW_RULES[table]).write.parquet(folder)
-        marked = layers.spark.read.parquet(folder)
-        layers.set_aside(marked.where(F.size(BROKEN) > 0), table)
-        incoming = marked.where(F.size(BROKEN) == 0).drop(BROKEN)
-    layers.replace(upsert(layers.read(table), incoming, ID, rules.stamp), table, consumed=consumed)
+    """Upserts employees. In quarantine only good rows are merged, so a bad update leaves the stored row as it is.
+
+    Only the folders in which incoming keys lie are read and written.
+    """
+    folder = new_folder(layers.spark, "incoming")
+    quarantine = on_violation == "quarantine"
+    (mark_broken(incoming, ROW_RULES[table]) if quarantine else incoming).write.parquet(folder)
+    incoming = layers.spark.read.parquet(folder)
+    if quarantine:
+        layers.set_aside(incoming.where(F.size(BROKEN) > 0), table)
+        incoming = incoming.where(F.size(BROKEN) == 0).drop(BROKEN)
+    parts = layers.parts_of(incoming, table)
+    if parts:
+        merged = upsert(layers.read(table, parts=parts), incoming, ID, rules.stamp)
+        layers.replace(merged, table, consumed=consumed, parts=parts)
+    elif consumed:
+        layers.advance(table, consumed)
 
 
 def stage_employees(
@@ -121,16 +130,25 @@ def stage_timesheets(
     return True
 
 
-def load_employees(layers: Layers, rules: Rules, *, on_violation: str = "fail") -> None:
-    source = "staging.employee_staging"
-    consumed = {source: layers.position(source)}
-    staged = layers.read(source)
+def load_employees(layers: Layers, rules: Rules, *, on_violation: str = "fail", only_this_load: bool = False) -> None:
+    """Upserts the staged employees into the curated table.
+
+    With ``only_this_load`` only the folders in which staged employees have changed are taken up, unless the table was last loaded
+    as of another day: days of tenure grow for all employees, so the first load of a day takes all.
+    """
+    table, source = "curated.employee", "staging.employee_staging"
+    day = rules.as_of.toordinal()
+    consumed = {source: layers.position(source), edits.AS_OF: day}
+    parts = None
+    if only_this_load and layers.consumed(table, edits.AS_OF) == day:
+        parts = layers.changed_parts(source, layers.consumed(table, source))
+    staged = layers.read(source, upto=consumed[source], parts=parts)
     if staged.isEmpty():
         log.warning("no staged employees, nothing to curate")
         return
     edits.apply_stored(layers, rules)
     loaded = edits.with_edits(layers, curate_employees(staged, rules), rules)
-    merge(layers, loaded, "curated.employee", rules, on_violation, consumed)
+    merge(layers, loaded, table, rules, on_violation, consumed)
 
 
 def _held_near(held: DataFrame, incoming: DataFrame, *, null_safe: bool) -> DataFrame:
@@ -238,7 +256,7 @@ def refresh(
     edits.apply_stored(layers, rules)
     staged = "staging.employee_staging"
     if layers.position(staged) > layers.consumed("curated.employee", staged):
-        load_employees(layers, rules, on_violation=on_violation)
+        load_employees(layers, rules, **scope)
     if new_punches:
         load_timesheets(layers, rules, on_violation=on_violation, null_safe=null_safe)
     reports = f"{layers.root}/reports"

@@ -112,6 +112,22 @@ def _(spark, sf):
     return _without_zone(merged).select(*_EMP.split(", "), *AUDIT_FIELDS)
 
 
+@query("snk3_touched_folders", sql("emp", f"""
+    incoming as (select * replace ('changed' as department_name) from emp where client_employee_id like '%7')
+    select client_employee_id, full_name, tenure_days, coalesce(i.department_name, e.department_name) as department_name,
+        case when i.client_employee_id is not null then 'second' else 'first' end as written
+    from emp e left join (select client_employee_id, department_name from incoming) i using (client_employee_id)"""))
+def _(spark, sf):
+    """A load of some employees merged into the folders of their keys; the other folders stay as they were written."""
+    layers = Layers(spark, new_folder(spark, "curated"), folders=64)
+    people = employees(spark, sf)
+    layers.replace(_audited(people), "curated.employee")
+    changed = people.where(F.col(ID).endswith("7")).withColumn("department_name", F.lit("changed"))
+    refresh.merge(layers, changed, "curated.employee", RULES, "fail")
+    written = F.when(F.col("updated_at") > F.lit(BEFORE).cast("timestamp"), "second").otherwise("first")
+    return layers.read("curated.employee").select(ID, "full_name", "tenure_days", "department_name", written.alias("written"))
+
+
 @query("snk4_insert_placeholders", sql("punches staff", """
     select client_employee_id, first_name, last_name from staff
     union all select distinct client_employee_id, 'Unknown', 'Unknown' from punches

@@ -146,3 +146,6 @@ TABLES = {
 
 # Tables kept in one folder per month of a date column, for partition pruning.
 MONTHLY = {"curated.timesheet": "punch_apply_date"}
+
+# Tables kept in a fixed number of folders by the hash of a key, so that an upsert reads and writes only the folders of its keys.
+HASHED = {"staging.employee_staging": "client_employee_id", "curated.employee": "client_employee_id"}

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import time
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,9 +24,12 @@ from shiftledger.operators.constraints import (
     is_broken,
     mark_broken,
 )
-from shiftledger.schemas import MONTHLY, TABLES
+from shiftledger.schemas import HASHED, MONTHLY, TABLES
 
-_COMMITS = "table string, path string, replaces boolean, seq long, consumed map<string,long>"
+_COMMITS = (
+    "table string, path string, replaces boolean, seq long, consumed map<string,long>, parts array<int>, folders int"
+)
+FOLDERS = 32
 
 
 class Layers:
@@ -35,34 +39,72 @@ class Layers:
 
     A commit also says how far its table has consumed others: their position then. So a step takes up whatever the last
     step that succeeded has not, and a stopped run is resumed by the next, whoever starts it.
+
+    The tables in ``HASHED`` lie in ``folders`` folders by the hash of their key. A commit names those it holds rows of, or
+    replaces, so one commit can replace a few and leave the rest. The number is fixed for a root.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, *, folders: int = FOLDERS):
+        self.spark, self.root, self.folders = spark, root.rstrip("/"), folders
 
     def _entries(self, table: str) -> list[Row]:
         """The commits of a table, in order."""
         try:
             log = self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
-            return log.where(F.col("table") == table).orderBy("seq").collect()
+            entries = log.where(F.col("table") == table).orderBy("seq").collect()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return []
+        if table in HASHED:
+            other = {entry["folders"] for entry in entries if entry["path"]} - {self.folders}
+            if other:
+                raise ValueError(f"{table} was written in {other} folders, not in {self.folders}")
+        return entries
 
-    def _live_paths(self, table: str, *, after: int = 0, upto: int | None = None) -> list[str]:
-        """The folders that make up the table as of a position, or those of them committed after another."""
+    def _live(self, table: str, *, after: int = 0, upto: int | None = None) -> list[tuple[str, set[int]]]:
+        """What makes up the table as of a position, or what of it was committed after another.
+
+        Each load with the folders of it that no later commit replaced. Tables that are not hashed count as one folder.
+        """
         entries = [entry for entry in self._entries(table) if upto is None or entry["seq"] <= upto]
-        last = max((entry["seq"] for entry in entries if entry["replaces"]), default=0)
-        return [entry["path"] for entry in entries if entry["path"] and entry["seq"] >= max(last, after + 1)]
+        every = range(self.folders if table in HASHED else 1)
+        since = dict.fromkeys(every, 0)
+        for entry in entries:
+            if entry["replaces"]:
+                since.update(dict.fromkeys(every if entry["parts"] is None else entry["parts"], entry["seq"]))
+        held = [
+            (entry["path"], {part for part in (every if entry["parts"] is None else entry["parts"]) if entry["seq"] >= since[part]})
+            for entry in entries if entry["path"] and entry["seq"] > after
+        ]
+        return [(path, parts) for path, parts in held if parts]
+
+    def _live_paths(self, table: str, *, after: int = 0, upto: int | None = None) -> list[str]:
+        return [path for path, _ in self._live(table, after=after, upto=upto)]
+
+    def _part(self, table: str) -> Column:
+        """The folder of a row of a hashed table."""
+        return F.pmod(F.xxhash64(F.col(HASHED[table]).cast(TABLES[table][HASHED[table]].dataType)), F.lit(self.folders)).cast("int")
+
+    def parts_of(self, rows: DataFrame, table: str) -> list[int]:
+        """The folders of a hashed table in which the keys of ``rows`` lie."""
+        return sorted(row[0] for row in rows.select(self._part(table)).distinct().collect())
+
+    def changed_parts(self, table: str, after: int) -> list[int]:
+        """The folders of a hashed table that commits later than a position hold rows of or replaced."""
+        entries = [entry for entry in self._entries(table) if entry["seq"] > after and (entry["path"] or entry["replaces"])]
+        if any(entry["parts"] is None for entry in entries):
+            return list(range(self.folders))
+        return sorted({part for entry in entries for part in entry["parts"]})
 
     def position(self, table: str) -> int:
         """The last commit of a table, 0 before the first."""
         return max((entry["seq"] for entry in self._entries(table)), default=0)
 
     def consumed(self, table: str, source: str) -> int:
-        """The position up to which ``table`` has taken up ``source``; 0 if nothing was."""
-        return max(((entry["consumed"] or {}).get(source, 0) for entry in self._entries(table)), default=0)
+        """The position up to which ``table`` has taken up ``source``, by its last commit that says so; 0 if none does."""
+        said = [entry["consumed"][source] for entry in self._entries(table) if source in (entry["consumed"] or {})]
+        return said[-1] if said else 0
 
     def advance(self, table: str, consumed: dict[str, int]) -> None:
         """Records that nothing had to be written for what was consumed."""
@@ -71,23 +113,33 @@ class Layers:
     def _folder(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
 
-    def _commit(self, table: str, path: str | None, *, replaces: bool, consumed: dict[str, int] | None = None) -> None:
-        """Records a folder of rows; with ``replaces`` and no folder the table becomes empty."""
-        entry = [(table, path, replaces, time.time_ns(), consumed or None)]
+    def _commit(
+        self, table: str, path: str | None, *, replaces: bool, consumed: dict[str, int] | None = None, parts: list[int] | None = None
+    ) -> None:
+        """Records a folder of rows; with ``replaces`` and no folder the table, or its ``parts``, become empty."""
+        entry = [(table, path, replaces, time.time_ns(), consumed or None, parts, self.folders if table in HASHED else None)]
         self.spark.createDataFrame(entry, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
-    def read(self, table: str, *, after: int = 0, upto: int | None = None) -> DataFrame:
+    def read(self, table: str, *, after: int = 0, upto: int | None = None, parts: list[int] | None = None) -> DataFrame:
         """The table as last committed; empty before the first commit.
 
         With ``upto`` it is the table as of that position, with ``after`` only what was committed later than
-        that; the folders of other commits are not read. A table kept in monthly folders also has the column ``month``.
+        that; the folders of other commits are not read. Of a hashed table ``parts`` selects folders. A table kept in
+        monthly folders also has the column ``month``.
         """
         schema = TABLES[table]
-        paths = self._live_paths(table, after=after, upto=upto)
-        if not paths:
+        live = self._live(table, after=after, upto=upto)
+        if parts is not None:
+            live = [(path, held & set(parts)) for path, held in live if held & set(parts)]
+        if not live:
             return self.spark.createDataFrame([], schema)
         columns = [*schema.fieldNames(), *(["month"] if table in MONTHLY else [])]
-        return self._scan(table, paths, schema).select(*columns)
+        rows = self._scan(table, [path for path, _ in live], schema)
+        if table in HASHED:  # on partition columns only, so other folders are not read
+            rows = rows.where(reduce(Column.__or__, [
+                (F.col("load") == path.split("/load=")[1].split("/")[0]) & F.col("part").isin(sorted(held)) for path, held in live
+            ]))
+        return rows.select(*columns)
 
     def loaded_files(self, table: str) -> DataFrame | None:
         """(path, source_file, length, modified) of the files in the committed loads, None before the first."""
@@ -118,7 +170,7 @@ class Layers:
         return count
 
     def _scan(self, table: str, paths: list[str], schema: T.StructType) -> DataFrame:
-        """Folders of one table; below its folder lie load, quarantined and perhaps month."""
+        """Folders of one table; below its folder lie load, quarantined and perhaps month or part."""
         return self.spark.read.schema(schema).option("basePath", self._folder(table)).parquet(*paths)
 
     def quarantined(self, table: str) -> DataFrame | None:
@@ -134,6 +186,7 @@ class Layers:
         return self._write(df, table, replaces=False, **options)
 
     def replace(self, df: DataFrame, table: str, **options) -> dict[str, int]:
+        """Puts the rows in place of the table's, or, with ``parts``, of those in some folders of a hashed table."""
         return self._write(df, table, replaces=True, **options)
 
     def _write(
@@ -145,6 +198,7 @@ class Layers:
         on_violation: str = "fail",
         files: DataFrame | None = None,
         consumed: dict[str, int] | None = None,
+        parts: list[int] | None = None,
     ) -> dict[str, int]:
         """Writes, audits and commits; returns the number of rows and of broken rules.
 
@@ -173,14 +227,22 @@ class Layers:
                 .sortWithinPartitions(*folders, "month", date_column)
             )
             folders = [*folders, "month"]
+        if table in HASHED:
+            ready = ready.withColumn("part", self._part(table)).hint("rebalance", "part").sortWithinPartitions(*folders, "part")
+            folders = [*folders, "part"]
         ready.write.mode("errorifexists").partitionBy(*folders).parquet(load if quarantine else good)
 
         audit = self._scan(table, [load], layout).agg(
             F.count(F.lit(1)).alias("rows"),
             *[F.count_if(is_broken(rule)).alias(rule.name) for rule in rules],
             *([F.count_if(F.size(BROKEN) > 0).alias("quarantined")] if quarantine else []),
+            *([F.sort_array(F.collect_set(self._part(table))).alias("parts")] if table in HASHED else []),
         )
         counts = audit.first().asDict()
+        held = counts.pop("parts", None)
+        if parts is not None and not set(held) <= set(parts):
+            raise ValueError(f"{table}: rows outside the folders to replace")
+        touched = held if not replaces else parts
         broken = {rule.name: counts[rule.name] for rule in rules if counts[rule.name]}
         if broken and not quarantine:
             raise ConstraintViolation(table, broken)
@@ -191,7 +253,7 @@ class Layers:
             files.write.parquet(f"{self.root}/files/{table}/{load.split('/load=')[1]}")
         good_rows = counts["rows"] - bad_rows
         if good_rows or replaces or consumed:
-            self._commit(table, good if good_rows else None, replaces=replaces, consumed=consumed)
+            self._commit(table, good if good_rows else None, replaces=replaces, consumed=consumed, parts=touched)
         return {**counts, "rows": good_rows}
 
     def _conform(self, df: DataFrame, table: str) -> DataFrame:
