@@ -6,22 +6,23 @@ a name its parts are also replaced wherever else they stand as capitalized words
 by its kind and its canonical form (lower case, or digits only), so that all mentions in the
 corpus get one surrogate. A surrogate is drawn from a keyed SHA-256 of both:
 
-* e-mail: letters and digits change in place, punctuation, lengths and the top-level domain stay;
-  a domain changes alike in all addresses;
-* IPv4: an address of 10.0.0.0/8; card: the first digit stays and the Luhn sum is right; telephone: the
+* e-mail: local part and domain are entities of their own, so that a domain changes alike in all addresses; letters and digits change
+  in place, letters within their script (``LETTERS``, others become Latin), punctuation, lengths and the top-level domain stay;
+* IPv4: an address of 10.0.0.0/8; card: 13 to 19 digits whose Luhn sum is right (others are no card and stay); the first digit stays and the
+  Luhn sum is right again; telephone: the
   country code and the grouping stay, and a number with ``+`` is known by its digits in any grouping; social security: an area number that is never issued;
 * name: given and family name are entities of their own, without the title, so that all mentions of a family
   share one surrogate; a given name is drawn from those of the title's gender. Script and case are the mention's.
   A single name after a title counts as a family name, unless the text has it as the given name of a full name.
 
 Not detected: names that no title introduces anywhere in the same text, parts of names in small letters, the
-third and later words of a name after a title; telephone numbers without ``+`` other than in groups of 2-4, 3-4 and 3-4 digits
+third and later words of a name after a title, names in scripts without capitals; telephone numbers without ``+`` other than in groups of 2-4, 3-4 and 3-4 digits
 with separators; card and social security numbers with other separators; IPv6 and postal addresses, dates of birth, account numbers.
 
 Collision checks: the distinct entities of the corpus draw together; where two draw the same
 surrogate, or one that is itself an entity of the corpus, all but one draw again until all are distinct. Each
 attempt draws from a larger space, so that the rounds end for any number of entities: a family name gets a syllable more, a given
-name is joined to another by a hyphen, an e-mail's local part two letters more, numbers from the fourth draw on a digit more each; addresses
+name is joined to another by a hyphen, an e-mail's local part and a domain two letters more, numbers from the fourth draw on a digit more each; addresses
 are drawn from 240.0.0.0 to 254.255.255.255, then from the documentation range 2001:db8::/32. The
 table of entities is joined to the mentions by shuffle, never broadcast by force.
 """
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from shiftledger.session import new_folder
 
-KINDS = ("email", "ipv4", "card", "phone", "ssn", "given_m", "given_f", "given_n", "family")
+KINDS = ("local", "domain", "ipv4", "card", "phone", "ssn", "given_m", "given_f", "given_n", "family")
 
 # Titles by gender, and names by gender and script, for surrogates.
 TITLES = {
@@ -59,6 +60,12 @@ SYLLABLES = {
     "cyrillic": ("бар", "вел", "гор", "дан", "жел", "кор", "лен", "мир", "нор", "пол", "рас", "сол", "тар", "ува", "фед", "чер"),
     "greek": ("βαλ", "γερ", "δελ", "ζαν", "θορ", "καρ", "λιν", "μαρ", "νικ", "παλ", "ροσ", "σολ", "ταρ", "φεν", "χαλ", "ψαρ"),
 }
+# Letters for addresses by script: a class of Java's patterns, the first letter and how many follow it in Unicode without a gap.
+LETTERS = {
+    r"\p{IsCyrillic}": ("а", 32), r"\p{IsGreek}": ("α", 25), r"\p{IsHebrew}": ("א", 27), r"\p{IsArabic}": ("ب", 18),
+    r"\p{IsArmenian}": ("ա", 38), r"\p{IsGeorgian}": ("ა", 33), r"\p{IsDevanagari}": ("क", 37), r"\p{IsThai}": ("ก", 46),
+    r"\p{IsHiragana}": ("か", 30), r"\p{IsKatakana}": ("カ", 30), r"\p{IsHan}": ("一", 200), r"\p{IsHangul}": ("가", 200),
+}
 _TITLE = "|".join(sorted((t for held in TITLES.values() for t in held), key=lambda t: (-len(t), t)))
 _EDGE, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _WORD = r"\p{Lu}\p{L}*+(?:['’-](?![sS](?!\p{L}))\p{L}++)*+"  # a capitalized word without the 's of a genitive
@@ -72,16 +79,27 @@ PATTERNS = {
 }
 TITLES_OF = rf"^((?:(?:{_TITLE})\.?\x20)+(?=\p{{Lu}}))"  # of a name's mention
 WORD = _EDGE + _WORD  # what may be part of a name
+TOP = r"\.[^.]*$"  # of a domain
 CODE = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"  # E.164 country codes
 PARTS = "array<struct<text:string,surface:string,role:string,counts:boolean>>"
-PATTERN = "|".join(PATTERNS[k] for k in ("email", "ipv4", "card", "ssn", "phone", "name"))
+# No kind starts within a word, and the first character tells which kinds may start: most places are passed at one look.
+PATTERN = (
+    rf"{_EDGE}(?:{PATTERNS['email']}|(?=[+(\d])(?:{'|'.join(PATTERNS[k] for k in ('ipv4', 'card', 'ssn', 'phone'))})"
+    rf"|(?=\p{{Lu}}){PATTERNS['name']})"
+)
+_ZERO, _MARK = "\x00\x01", "\x00\x02"  # stand for a null character of the text and for the edges of what was found
+
+
+def _is_name(surface: Column) -> Column:
+    """Whether something found is a name: it alone starts with a letter and is no address."""
+    return ~surface.contains("@") & ~F.substring(surface, 1, 1).isin(list("+(0123456789"))
 
 
 def _kind(surface: Column) -> Column:
     whole = lambda kind: surface.rlike(f"^(?:{PATTERNS[kind]})$")
     return (
-        F.when(surface.contains("@"), "email").when(whole("ipv4"), "ipv4").when(whole("card"), "card")
-        .when(whole("ssn"), "ssn").when(surface.rlike(r"^[+(\d]"), "phone").otherwise("name")
+        F.when(surface.contains("@"), "email").when(_is_name(surface), "name").when(whole("ipv4"), "ipv4").when(whole("card"), "card")
+        .when(whole("ssn"), "ssn").otherwise("phone")
     )
 
 
@@ -89,7 +107,7 @@ def _canonical(kind: Column, surface: Column) -> Column:
     digits = F.regexp_replace(surface, r"\D", "")
     code = F.regexp_extract(digits, CODE, 1)
     return (
-        F.when((kind == "email") | (kind == "family") | kind.startswith("given_"), F.lower(surface)).when(kind == "ipv4", surface)
+        F.when(kind.isin("local", "domain", "family") | kind.startswith("given_"), F.lower(surface)).when(kind == "ipv4", surface)
         .when(surface.startswith("+"), F.concat(F.lit("+"), code, F.lit(" "), F.substring(digits, F.length(code) + 1, F.length(digits))))
         .otherwise(digits)
     )
@@ -106,31 +124,46 @@ def _byte(drawn: Column, at: Column | int) -> Column:
 
 
 def _changed(text: Column, drawn: Column) -> Column:
-    """Letters and digits of a lower-case text changed in place; other characters stay."""
+    """Letters and digits of a lower-case text changed in place, letters within their script; other characters stay."""
     def change(character: Column, i: Column) -> Column:
         byte = _byte(drawn, i) + i
+        letter = F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), byte % 26 + 1, F.lit(1))
+        other = letter
+        for script, (first, count) in LETTERS.items():
+            row = "".join(chr(ord(first) + place) for place in range(count))
+            other = F.when(character.rlike(script), F.substring(F.lit(row), byte % count + 1, F.lit(1))).otherwise(other)
         return (
             F.when(character.rlike(r"\d"), F.substring(F.lit("0123456789"), byte % 10 + 1, F.lit(1)))
-            .when(character.rlike(r"\p{L}"), F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), byte % 26 + 1, F.lit(1)))
-            .otherwise(character)
+            .when(character.rlike("[a-z]"), letter).when(character.rlike(r"\p{L}"), other).otherwise(character)
         )
     return F.array_join(F.transform(F.split(text, ""), change), "")
 
 
+def _lengthened(text: Column, key: str, drawn: Column, canonical: Column, attempt: Column) -> Column:
+    """A changed text with two letters more at each attempt, in the script of its first letter."""
+    model = F.regexp_extract(text, r"\p{L}", 0)
+    more = F.repeat(F.when(model == "", "a").otherwise(model), attempt * 2)
+    return F.concat(_changed(text, drawn), _changed(more, _draw(key, F.lit("letters"), canonical, attempt)))
+
+
 def _digits(drawn: Column, count: Column, first: Column) -> Column:
     """``first`` and then drawn digits, ``count`` digits in all."""
     tail = F.transform(F.sequence(F.lit(1), F.greatest(count - F.length(first), F.lit(1))), lambda i: (_byte(drawn, i) % 10).cast("string"))
     return F.substring(F.concat(first, F.array_join(tail, "")), F.lit(1), count)
 
 
+def _luhn_sum(digits: Column, doubled: int) -> Column:
+    """The Luhn sum; every other digit from the right counts twice, from the place ``doubled`` on."""
+    def weight(d: Column, i: Column) -> Column:
+        twice = d.cast("int") * F.when(i % 2 == doubled, 2).otherwise(1)
+        return F.when(twice > 9, twice - 9).otherwise(twice)
+    return F.aggregate(F.transform(F.reverse(F.split(digits, "")), weight), F.lit(0), lambda a, b: a + b)
+
+
 def _luhn(digits: Column) -> Column:
     """Digits with the last one set so that the Luhn sum is a multiple of ten."""
     body = F.substring(digits, F.lit(1), F.length(digits) - 1)
-    def weight(d: Column, i: Column) -> Column:
-        twice = d.cast("int") * F.when(i % 2 == 0, 2).otherwise(1)
-        return F.when(twice > 9, twice - 9).otherwise(twice)
-    total = F.aggregate(F.transform(F.reverse(F.split(body, "")), weight), F.lit(0), lambda a, b: a + b)
-    return F.concat(body, ((10 - total % 10) % 10).cast("string"))
+    return F.concat(body, ((10 - _luhn_sum(body, 0) % 10) % 10).cast("string"))
 
 
 def _choice(values: tuple[str, ...], at: Column) -> Column:
@@ -156,10 +189,9 @@ def _name(kind: Column, canonical: Column, drawn: Column, attempt: Column) -> Co
 def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Column:
     """The canonical form of the surrogate at an attempt; later attempts draw from a larger space."""
     drawn = _draw(key, kind, canonical, attempt)
-    local, domain = F.split(canonical, "@", 2)[0], F.split(canonical, "@", 2)[1]
-    host, top = F.regexp_extract(domain, r"^(.*)(\.[^.]*)$", 1), F.regexp_extract(domain, r"^(.*)(\.[^.]*)$", 2)
-    letters = _changed(F.repeat(F.lit("a"), attempt * 2), _draw(key, F.lit("letters"), canonical, attempt))
-    email = F.concat(_changed(local, drawn), letters, F.lit("@"), _changed(host, _draw(key, F.lit("domain"), domain)), top)
+    top = F.regexp_extract(canonical, TOP, 0)
+    host = F.substring(canonical, F.lit(1), F.length(canonical) - F.length(top))
+    domain = F.concat(_lengthened(host, key, drawn, canonical, attempt), top)
     octets = [_byte(drawn, i).cast("string") for i in range(3)]
     ipv4 = (
         F.when(attempt == 0, F.concat_ws(".", F.lit("10"), *octets))
@@ -173,7 +205,7 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
     phone = F.concat(code, _digits(drawn, F.length(number) + more, (2 + _byte(drawn, 0) % 8).cast("string")))
     ssn = _digits(drawn, 9 + more, F.lit("9"))
     return (
-        F.when(kind == "email", email).when(kind == "ipv4", ipv4).when(kind == "card", card)
+        F.when(kind == "local", _lengthened(canonical, key, drawn, canonical, attempt)).when(kind == "domain", domain).when(kind == "ipv4", ipv4).when(kind == "card", card)
         .when(kind == "phone", phone).when(kind == "ssn", ssn).otherwise(_name(kind, canonical, drawn, attempt))
     )
 
@@ -181,9 +213,10 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
 def rendered(kind: Column, surface: Column, found: Column) -> Column:
     """The surrogate in the form of the mention: its separators, its case.
 
-    Letters added to an address stand in small letters before the ``@``, added digits at the end.
+    Letters added to an address stand in small letters at the end of its local part or before the top-level domain, added digits at the end.
     """
-    own, at = F.split(surface, ""), F.instr(surface, "@") - 1
+    own = F.split(surface, "")
+    at = F.length(surface) - F.when(kind == "domain", F.length(F.regexp_extract(surface, TOP, 0))).otherwise(0)
     added = F.length(found) - F.length(surface)
 
     def case(c: Column, i: Column) -> Column:
@@ -208,7 +241,7 @@ def rendered(kind: Column, surface: Column, found: Column) -> Column:
     loud = (surface == F.upper(surface)) & (F.length(surface) > 2)
     named = F.when(loud, F.upper(found)).otherwise(F.array_join(F.transform(F.split(found, "-"), F.initcap), "-"))
     named_kind = (kind == "family") | kind.startswith("given_")
-    return F.when(kind == "email", cased).when(kind == "ipv4", found).when(named_kind, named).otherwise(numbered)
+    return F.when(kind.isin("local", "domain"), cased).when(kind == "ipv4", found).when(named_kind, named).otherwise(numbered)
 
 
 def _once(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -226,38 +259,50 @@ def _part(text: Column, surface: Column | None = None, role: Column | None = Non
 
 
 def _mentioned(surface: Column) -> Column:
-    """The parts of one mention: a name after titles in one or two words, other kinds whole."""
+    """The parts of one mention: a name after titles in one or two words, an e-mail's local part and domain, other kinds whole.
+
+    Digits like a card's with a wrong Luhn sum are plain text.
+    """
     titles = F.regexp_extract(surface, TITLES_OF, 1)
     words = F.split(F.substring(surface, F.length(titles) + 1, F.length(surface)), " ")
     gender = F.lit("n")
     for g in ("f", "m"):
         gender = F.when(surface.rlike(rf"(?:^|\x20)(?:{'|'.join(TITLES[g])})\.?\x20(?=.*\p{{Lu}})"), g).otherwise(gender)
     full = F.array(_part(titles, words[0], F.concat(F.lit("given_"), gender)), _part(F.lit(" "), words[1], F.lit("family"), False))
-    kind = _kind(surface)
+    address = F.split(surface, "@", 2)
+    email = F.array(_part(F.lit(""), address[0], F.lit("local")), _part(F.lit("@"), address[1], F.lit("domain"), False))
+    numbered = _once(_kind(surface), lambda kind: F.when(
+        (kind == "card") & (_luhn_sum(F.regexp_replace(surface, r"\D", ""), 1) % 10 != 0), F.array(_part(surface))
+    ).otherwise(F.array(_part(F.lit(""), surface, kind))))
     return (
-        F.when(kind != "name", F.array(_part(F.lit(""), surface, kind)))
+        F.when(surface.contains("@"), email).when(~_is_name(surface), numbered)
         .when(F.size(words) == 2, full).otherwise(F.array(_part(titles, words[0], F.lit("only"))))
     )
 
 
+def _cut(text: Column, pattern: str) -> Column:
+    """The text in turn outside and inside of the pattern's matches, starting outside, by one pass of the pattern.
+
+    The null characters of the text are held apart from the marks meanwhile.
+    """
+    marked = F.regexp_replace(F.replace(text, F.lit("\x00"), F.lit(_ZERO)), pattern, f"{_MARK}$0{_MARK}")
+    return F.transform(F.split(marked, _MARK, -1), lambda piece: F.replace(piece, F.lit(_ZERO), F.lit("\x00")))
+
+
 def _parts(text: Column) -> Column:
     """The whole text cut into parts. Capitalized words are mentions of role ``word`` if the text has a name after a title."""
-    def between(piece: Column, named: Column) -> Column:
-        words = F.regexp_extract_all(piece, F.lit(WORD), F.lit(0))
-        return F.when(named, F.zip_with(
-            F.split(piece, WORD, -1), words, lambda t, w: _part(t, w, F.when(w.isNotNull(), "word"))
-        )).otherwise(F.array(_part(piece)))
-
-    def cut(held: Column) -> Column:
-        return F.flatten(F.zip_with(
-            held["pieces"], held["found"],
-            lambda piece, x: F.concat(between(piece, held["named"]), F.when(x.isNotNull(), _mentioned(x)).otherwise(F.array().cast(PARTS))),
-        ))
-
-    found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-    return _once(found, lambda found: _once(F.struct(
-        F.split(text, PATTERN, -1).alias("pieces"), found.alias("found"), F.exists(found, lambda x: _kind(x) == "name").alias("named"),
-    ), cut))
+    def outside(piece: Column) -> Column:
+        return F.flatten(F.transform(_cut(piece, WORD), lambda x, i: F.array(
+            F.when(i % 2 == 0, _part(x)).otherwise(_part(F.lit(""), x, F.lit("word")))
+        )))
+
+    def whole(pieces: Column) -> Column:
+        named = F.exists(F.transform(pieces, lambda x, i: (i % 2 == 1) & _is_name(x)), lambda x: x)
+        return _once(named, lambda named: F.flatten(F.transform(pieces, lambda x, i: (
+            F.when(i % 2 == 1, _mentioned(x)).when(named, outside(x)).otherwise(F.array(_part(x)))
+        ))))
+
+    return _once(_cut(text, PATTERN), whole)
 
 
 def _resolved(mentions: DataFrame) -> DataFrame:
