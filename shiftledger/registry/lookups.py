@@ -38,6 +38,17 @@ def _(spark, sf):
     return rows.select(*EMPLOYEE)
 
 
+@query("lq3_next_page", sql("emp", f"""
+    select {_EMPLOYEE} from emp where department_name = '3-MEDIUM' and active_status
+    order by client_employee_id limit 100 offset 20"""))
+def _(spark, sf):
+    """The second page, sought by the last id of the first."""
+    staff, scope = employees(spark, sf), {"department": "3-MEDIUM", "active": True}
+    first = lookup.list_employees(staff, **scope, limit=20).collect()
+    after = first[-1]["client_employee_id"] if first else None
+    return lookup.list_employees(staff, **scope, after=after, limit=100).select(*EMPLOYEE)
+
+
 @query("lq4_employee_by_id", sql("emp", f"select {_EMPLOYEE} from emp where client_employee_id = '73'"))
 def _(spark, sf):
     return lookup.employee(employees(spark, sf), "73").select(*EMPLOYEE)
@@ -53,6 +64,21 @@ def _(spark, sf):
     return rows.select(*PUNCH)
 
 
+@query("lq5_next_page", sql("ts", f"""
+    select {_PUNCH} from ts where punch_apply_date >= date '1996-02-01' and punch_apply_date <= date '1999-03-31'
+    order by {_TIES} limit 200 offset 50"""))
+def _(spark, sf):
+    """The second page, sought by the last row of the first."""
+    sheet, scope = timesheets(spark, sf), {"start": date(1996, 2, 1), "end": date(1999, 3, 31)}
+    first = lookup.list_timesheets(sheet, **scope, limit=50).collect()
+    same = sum(row == first[-1] for row in first)
+    # one more than the page shows whether copies of its last row exist at all
+    alike = lookup.list_timesheets(sheet, **scope, after=first[-1], seen=same, limit=1).collect() if first else []
+    seen = same if alike and alike[0] == first[-1] else 0
+    rows = lookup.list_timesheets(sheet, **scope, after=first[-1] if first else None, seen=seen, limit=200)
+    return rows.select(*PUNCH)
+
+
 @query("lq6_timesheets_of_employee", sql("ts", f"""
     select {_PUNCH} from ts where client_employee_id = '7'"""))
 def _(spark, sf):

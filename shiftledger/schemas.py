@@ -147,5 +147,9 @@ TABLES = {
 # Tables kept in one folder per month of a date column, for partition pruning.
 MONTHLY = {"curated.timesheet": "punch_apply_date"}
 
+# Columns with a Bloom filter per row group, so that a lookup by a value skips the row groups without it. Row groups with few
+# distinct values have a dictionary in its place; filters are written in the smallest size that fits.
+BLOOMED = {"curated.timesheet": "client_employee_id"}
+
 # Tables kept in a fixed number of folders by the hash of a key, so that an upsert reads and writes only the folders of its keys.
 HASHED = {"staging.employee_staging": "client_employee_id", "curated.employee": "client_employee_id"}

@@ -24,7 +24,7 @@ from shiftledger.operators.constraints import (
     is_broken,
     mark_broken,
 )
-from shiftledger.schemas import HASHED, MONTHLY, TABLES
+from shiftledger.schemas import BLOOMED, HASHED, MONTHLY, TABLES
 
 _COMMITS = (
     "table string, path string, replaces boolean, seq long, consumed map<string,long>, parts array<int>, folders int"
@@ -230,7 +230,10 @@ class Layers:
         if table in HASHED:
             ready = ready.withColumn("part", self._part(table)).hint("rebalance", "part").sortWithinPartitions(*folders, "part")
             folders = [*folders, "part"]
-        ready.write.mode("errorifexists").partitionBy(*folders).parquet(load if quarantine else good)
+        writer = ready.write.mode("errorifexists").partitionBy(*folders)
+        if table in BLOOMED:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{BLOOMED[table]}", True).option("parquet.bloom.filter.adaptive.enabled", True)
+        writer.parquet(load if quarantine else good)
 
         audit = self._scan(table, [load], layout).agg(
             F.count(F.lit(1)).alias("rows"),

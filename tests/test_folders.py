@@ -145,3 +145,21 @@ def test_edits_write_their_folders_and_keep_tenure_right(spark):
         "E3": "Dee", "E9": "Cy", "E10": "Ann",
     }
     assert found.select("tenure_days").distinct().count() == 1
+
+
+def test_a_lookup_skips_row_groups_without_the_id(spark):
+    """An absent id lies between the least and the greatest, so only the Bloom filter can tell."""
+    layers = Layers(spark, new_folder(spark, "bloomed"))
+    day = F.lit(date(2024, 5, 1))
+    ids = spark.range(0, 400_000, 1, 1).select(F.sha2(F.col("id").cast("string"), 256).alias(ID), day.alias("punch_apply_date"))
+    layers.append(ids, "curated.timesheet")
+    held = layers.read("curated.timesheet")
+
+    def scanned(wanted):
+        found = held.where(F.col(ID) == wanted)
+        found.collect()
+        nodes = found._jdf.queryExecution().executedPlan().collectLeaves()
+        return nodes.apply(0).metrics().apply("numOutputRows").value()
+
+    assert scanned("8" * 64) == 0
+    assert scanned(ids.first()[ID]) > 0
