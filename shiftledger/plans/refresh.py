@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shiftledger.operators import ConstraintViolation, insert_absent, upsert
 from shiftledger.operators.constraints import BROKEN, ROW_RULES, mark_broken, orphan_keys
-from shiftledger.plans import edits, quality, report
+from shiftledger.plans import daily, edits, quality, report
 from shiftledger.plans.clean import clean_employees, clean_timesheets, junk_summary, placeholders, unreadable_texts
 from shiftledger.plans.curate import PUNCH_KEY, curate_employees, curate_timesheets
 from shiftledger.plans.formats import column_formats
@@ -259,6 +259,7 @@ def refresh(
         load_employees(layers, rules, **scope)
     if new_punches:
         load_timesheets(layers, rules, on_violation=on_violation, null_safe=null_safe)
+    daily.update(layers)  # also what a stopped run left
     reports = f"{layers.root}/reports"
     results = check(layers, rules, json_path=f"{reports}/quality_{uuid.uuid4().hex}.json")
     paths = report.write_report(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from shiftledger.plans import attendance, headcount, hours, people
-from shiftledger.registry import query
+from pyspark.sql import functions as F
+
+from shiftledger.plans import attendance, daily, headcount, hours, people
+from shiftledger.registry import ORACLES, query
 from shiftledger.registry.bridge import (
     AS_OF,
     employees,
@@ -16,6 +18,8 @@ from shiftledger.registry.bridge import (
     sql,
     timesheets,
 )
+from shiftledger.session import new_folder
+from shiftledger.sources import Layers
 
 # --- headcount and turnover ------------------------------------------------------
 
@@ -349,3 +353,36 @@ def _(spark, sf):
 @query("k25_attendance_summary_filtered", _attendance_sql(_ONE_EMPLOYEE))
 def _(spark, sf):
     return attendance.summary(timesheets(spark, sf), **_ONE_EMPLOYEE_ARGS)
+
+
+# --- from daily sums ---------------------------------------------------------------
+
+
+def _daily(spark, sf):
+    """The stored sums after two loads that share employees and days."""
+    layers, sheet = Layers(spark, new_folder(spark, "daily")), timesheets(spark, sf)
+    second = F.pmod(F.xxhash64("client_employee_id", "punch_in_datetime"), F.lit(3)) == 0
+    for load in (sheet.where(~second), sheet.where(second)):
+        layers.append(load, daily.SOURCE)
+        daily.update(layers)
+    return layers.read(daily.TABLE)
+
+
+@query("k14_from_daily", ORACLES["k14_hours_per_day_by_employee"])
+def _(spark, sf):
+    return daily.hours_per_day_by_employee(_daily(spark, sf))
+
+
+@query("k18_from_daily", ORACLES["k18_hours_summary"])
+def _(spark, sf):
+    return daily.hours_summary(_daily(spark, sf))
+
+
+@query("k25_from_daily", ORACLES["k25_attendance_summary"])
+def _(spark, sf):
+    return daily.attendance_summary(_daily(spark, sf))
+
+
+@query("k27_from_daily", ORACLES["k27_rolling_snapshot"])
+def _(spark, sf):
+    return hours.rolling_snapshot(daily.per_day(_daily(spark, sf)))

@@ -123,6 +123,14 @@ EMPLOYEE_CHANGES = struct({
     "made_at": T.TimestampType(),
 })
 
+TIMESHEET_DAILY = struct({
+    "client_employee_id": T.StringType(),
+    "punch_apply_date": T.DateType(),
+    "punches": T.LongType(),
+    "hours_worked": T.DecimalType(28, 4),
+    **{f"{name}_{part}": T.LongType() for name in ("late_arrival", "early_departure", "overtime") for part in ("assessable", "flagged")},
+})
+
 CHECK_RESULTS = struct({
     "run_id": T.StringType(),
     "run_at": T.TimestampType(),
@@ -140,12 +148,13 @@ TABLES = {
     "staging.timesheet_staging": STAGING_TIMESHEET,
     "curated.employee": CURATED_EMPLOYEE,
     "curated.timesheet": CURATED_TIMESHEET,
+    "curated.timesheet_daily": TIMESHEET_DAILY,
     "changes.employee": EMPLOYEE_CHANGES,
     "quality.check_results": CHECK_RESULTS,
 }
 
 # Tables kept in one folder per month of a date column, for partition pruning.
-MONTHLY = {"curated.timesheet": "punch_apply_date"}
+MONTHLY = {"curated.timesheet": "punch_apply_date", "curated.timesheet_daily": "punch_apply_date"}
 
 # Columns with a Bloom filter per row group, so that a lookup by a value skips the row groups without it. Row groups with few
 # distinct values have a dictionary in its place; filters are written in the smallest size that fits.

@@ -97,6 +97,10 @@ class Layers:
             return list(range(self.folders))
         return sorted({part for entry in entries for part in entry["parts"]})
 
+    def replaced(self, table: str, after: int) -> bool:
+        """Whether a commit later than a position replaced rows of the table."""
+        return any(entry["replaces"] for entry in self._entries(table) if entry["seq"] > after)
+
     def position(self, table: str) -> int:
         """The last commit of a table, 0 before the first."""
         return max((entry["seq"] for entry in self._entries(table)), default=0)
