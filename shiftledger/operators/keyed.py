@@ -71,11 +71,14 @@ def insert_absent(
     ``unique`` says that no key occurs twice in ``incoming``, NULLs taken as
     equal. It is then read once. Else rows with NULL keys skip deduplication
     and join on a branch of their own, so they cannot pile up in one partition.
+
+    With ``null_safe`` and without ``unique`` one shuffle of ``incoming`` serves both the deduplication and the join.
     """
     held = current.select(*keys)
+    if null_safe and unique:
+        return _without(incoming, held, keys, null_safe=True)
     if null_safe:
-        once = incoming if unique else first_per_key(incoming, keys, order)
-        return _without(once, held, keys, null_safe=True)
+        return _first_without(incoming, held, keys, order)
     keyed = reduce(Column.__and__, [F.col(name).isNotNull() for name in keys])
     held_keys = held.where(keyed)
     if unique:
@@ -92,3 +95,16 @@ def _without(rows: DataFrame, held: DataFrame, keys: Sequence[str], *, null_safe
         Column.__and__, [F.col(f"left.{name}").eqNullSafe(F.col(f"right.{name}")) for name in keys]
     )
     return left.join(right, same, "left_anti")
+
+
+def _first_without(rows: DataFrame, held: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row per key of those whose key ``held`` lacks; NULLs are equal.
+
+    The key is one struct: it is not NULL itself, and structs with NULLs in the same places are equal, in a window as in a
+    join. So rows lie where the join wants them once the window has them; comparing the parts null-safely would shuffle them again.
+    """
+    rest = [name for name in rows.columns if name not in keys]
+    window = Window.partitionBy("_key").orderBy(*order, *[F.col(name) for name in rest])
+    ranked = rows.select(F.struct(*keys).alias("_key"), *rest).withColumn("_place", F.row_number().over(window))
+    once = ranked.where(F.col("_place") == 1).join(held.select(F.struct(*keys).alias("_key")), "_key", "left_anti")
+    return once.select(*[F.col(f"_key.{name}").alias(name) if name in keys else F.col(name) for name in rows.columns])

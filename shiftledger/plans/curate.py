@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftledger.functions import early_departure, late_arrival, overtime
-from shiftledger.operators import first_per_key
+from shiftledger.operators import first_per_key, insert_absent
 from shiftledger.plans.clean import arrival_order
 from shiftledger.rules import Rules
 from shiftledger.schemas import CURATED_EMPLOYEE_FIELDS, CURATED_TIMESHEET_FIELDS
@@ -53,5 +53,13 @@ def with_attendance_flags(timesheets: DataFrame, rules: Rules) -> DataFrame:
 
 
 def curate_timesheets(staging: DataFrame, rules: Rules) -> DataFrame:
-    once = dedup_timesheets(staging)
+    return curated(dedup_timesheets(staging), rules)
+
+
+def absent_timesheets(staging: DataFrame, held: DataFrame, rules: Rules) -> DataFrame:
+    """:func:`curate_timesheets` without the punches of ``held``; missing punches are equal. The staged rows are shuffled once."""
+    return curated(insert_absent(held, staging, PUNCH_KEY, null_safe=True, order=arrival_order(staging)), rules)
+
+
+def curated(once: DataFrame, rules: Rules) -> DataFrame:
     return with_attendance_flags(once, rules).select(*CURATED_TIMESHEET_FIELDS)

@@ -13,11 +13,11 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftledger.operators import ConstraintViolation, insert_absent, upsert
+from shiftledger.operators import ConstraintViolation, insert_absent, missing_keys, upsert
 from shiftledger.operators.constraints import BROKEN, ROW_RULES, mark_broken, orphan_keys
 from shiftledger.plans import daily, edits, quality, report
 from shiftledger.plans.clean import clean_employees, clean_timesheets, junk_summary, placeholders, unreadable_texts
-from shiftledger.plans.curate import PUNCH_KEY, curate_employees, curate_timesheets
+from shiftledger.plans.curate import PUNCH_KEY, absent_timesheets, curate_employees, curate_timesheets
 from shiftledger.plans.formats import column_formats
 from shiftledger.rules import Rules
 from shiftledger.schemas import EMPLOYEE_FIELDS, TIMESHEET_FIELDS
@@ -163,9 +163,15 @@ def _held_near(held: DataFrame, incoming: DataFrame, *, null_safe: bool) -> Data
     return held.where(inside | punch.isNull() if null_safe else inside)
 
 
-def _with_known_employees(layers: Layers, rows: DataFrame, table: str, on_violation: str) -> DataFrame:
-    """The punches whose employee is curated; others stop the load or go to quarantine."""
-    orphans = orphan_keys(rows, layers.read("curated.employee"), ID)
+def _with_known_employees(layers: Layers, rows: DataFrame, staged: DataFrame, table: str, on_violation: str) -> DataFrame:
+    """The punches whose employee is curated; others stop the load or go to quarantine.
+
+    ``rows`` come from ``staged``, so they are worked out for this only if an id that is staged is unknown.
+    """
+    people = layers.read("curated.employee")
+    if missing_keys(staged, people, ID).isEmpty():
+        return rows
+    orphans = orphan_keys(rows, people, ID)
     if on_violation != "quarantine":
         count = orphans.agg(F.sum("rows")).first()[0]
         if count:
@@ -193,10 +199,12 @@ def load_timesheets(
         if consumed:
             layers.advance(table, consumed)
         return
-    incoming = curate_timesheets(staged, rules)
     held = _held_near(layers.read(table), staged, null_safe=null_safe)
-    fresh = insert_absent(held, incoming, PUNCH_KEY, null_safe=null_safe, unique=True)
-    fresh = _with_known_employees(layers, fresh, table, on_violation)
+    if null_safe:
+        fresh = absent_timesheets(staged, held, rules)
+    else:
+        fresh = insert_absent(held, curate_timesheets(staged, rules), PUNCH_KEY, unique=True)
+    fresh = _with_known_employees(layers, fresh, staged, table, on_violation)
     now = F.lit(rules.stamp).cast("timestamp")
     layers.append(fresh.withColumn("created_at", now), table, on_violation=on_violation, consumed=consumed)
 
