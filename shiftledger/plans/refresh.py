@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import time
 import uuid
+import zlib
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
@@ -29,6 +30,9 @@ log = logging.getLogger(__name__)
 ID = "client_employee_id"
 KNOWN_EMPLOYEE = "client_employee_id_known"
 
+# Beside the positions of a commit of staged timesheets: the raw position they begin after, and what they were staged by.
+STAGED_AFTER, STAGED_BY = "staged_after", "staged_by"
+
 
 class Refresh(NamedTuple):
     """What a run left behind; the frames are lazy."""
@@ -109,13 +113,18 @@ def stage_employees(
     return True
 
 
+def _fingerprint(rules: Rules, on_violation: str) -> int:
+    """A number for all that staging depends on beside its rows; the time of the run is no part of it."""
+    return zlib.crc32(repr((replace(rules, run_at=None), on_violation)).encode())
+
+
 def stage_timesheets(
     layers: Layers, rules: Rules, *, on_violation: str = "fail", only_this_load: bool = False
 ) -> bool:
     """Reloads the staged timesheets and adds a placeholder for every unknown employee id.
 
-    With ``only_this_load`` the staged rows are those of all loads that the curated table lacks. Returns whether
-    there was anything to stage.
+    With ``only_this_load`` the staged rows are those of all loads that the curated table lacks. If a run that stopped later
+    has staged just these by the same rules, they are not read again. Returns whether there was anything to stage.
     """
     raw, consumed = _raw_rows(layers, "raw.timesheet_raw", "curated.timesheet", only_this_load)
     if raw.isEmpty():
@@ -123,8 +132,13 @@ def stage_timesheets(
         return False
     now = F.lit(rules.stamp).cast("timestamp")
     table, people = "staging.timesheet_staging", "staging.employee_staging"
-    staged = clean_timesheets(raw, rules).withColumn("created_at", now)
-    layers.replace(staged, table, on_violation=on_violation, consumed=consumed)
+    if only_this_load:
+        consumed |= {
+            STAGED_AFTER: layers.consumed("curated.timesheet", "raw.timesheet_raw"), STAGED_BY: _fingerprint(rules, on_violation),
+        }
+    if not only_this_load or layers.last_consumed(table) != consumed:
+        staged = clean_timesheets(raw, rules).withColumn("created_at", now)
+        layers.replace(staged, table, on_violation=on_violation, consumed=consumed)
     unknown = placeholders(layers.read(table), layers.read(people))
     layers.append(unknown.withColumns({"created_at": now, "updated_at": now}), people)
     return True

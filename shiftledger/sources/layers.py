@@ -110,6 +110,11 @@ class Layers:
         said = [entry["consumed"][source] for entry in self._entries(table) if source in (entry["consumed"] or {})]
         return said[-1] if said else 0
 
+    def last_consumed(self, table: str) -> dict[str, int]:
+        """What the last commit of a table says that it has consumed."""
+        entries = self._entries(table)
+        return dict(entries[-1]["consumed"] or {}) if entries else {}
+
     def advance(self, table: str, consumed: dict[str, int]) -> None:
         """Records that nothing had to be written for what was consumed."""
         self._commit(table, None, replaces=False, consumed=consumed)

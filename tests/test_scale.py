@@ -49,6 +49,30 @@ def add_raw(layers, ids) -> None:
     layers.append(layers.spark.createDataFrame(rows, columns), "raw.timesheet_raw")
 
 
+def test_a_resumed_run_keeps_what_is_staged(spark, tmp_path):
+    layers, staged = _layers(spark, tmp_path, ["E1", "E2"]), "staging.timesheet_staging"
+    assert refresh.stage_timesheets(layers, RULES, only_this_load=True)
+    first = layers.position(staged)
+    later = Rules(as_of=RULES.as_of, run_at=datetime(2024, 6, 1, 9))
+    assert refresh.stage_timesheets(layers, later, only_this_load=True)
+    assert layers.position(staged) == first
+    # Other rules, other treatment of bad rows, new raw rows or a run over everything stage anew.
+    strict = Rules(as_of=RULES.as_of, run_at=RULES.run_at, junk_ids=("E1",))
+    refresh.stage_timesheets(layers, strict, only_this_load=True)
+    assert [row[0] for row in layers.read(staged).select("client_employee_id").collect()] == ["E2"]
+    for options in ({"on_violation": "quarantine", "only_this_load": True}, {}):
+        before = layers.position(staged)
+        refresh.stage_timesheets(layers, RULES, **options)
+        assert layers.position(staged) > before
+    add_raw(layers, ["E3"])
+    refresh.stage_timesheets(layers, RULES, only_this_load=True)
+    assert layers.read(staged).count() == 3
+    refresh.load_employees(layers, RULES)
+    refresh.load_timesheets(layers, RULES)
+    assert layers.read("curated.timesheet").count() == 3
+    assert not refresh.stage_timesheets(layers, RULES, only_this_load=True)
+
+
 def test_known_employees_need_no_look_at_the_new_punches(spark, tmp_path, monkeypatch):
     layers = _layers(spark, tmp_path, ["E1", "E2"])
     refresh.stage_timesheets(layers, RULES)
