@@ -21,12 +21,16 @@ TABLE, SOURCE = "curated.timesheet_daily", "curated.timesheet"
 
 
 def daily_sums(timesheets: DataFrame) -> DataFrame:
-    """Per employee and day: punches with hours and their sum, and per flag the assessable and the flagged punches."""
+    """Per employee and day: punches with hours and their sum, and per flag the assessable and the flagged punches.
+
+    Rows go to their employee and day before they are added up. A file of punches holds some twenty million rows in what one
+    task reads, with few rows a day, so a task that added them up first would hold a sum for nearly every row.
+    """
     flags = [
         column for name, (flag, *_) in MEASURES.items()
         for column in (F.count(flag).alias(f"{name}_assessable"), F.count_if(F.col(flag)).alias(f"{name}_flagged"))
     ]
-    return timesheets.groupBy(ID, DAY).agg(
+    return timesheets.repartition(ID, DAY).groupBy(ID, DAY).agg(
         F.count("hours_worked").alias("punches"), F.sum("hours_worked").alias("hours_worked"), *flags
     )
 
@@ -44,9 +48,10 @@ def update(layers: Layers) -> None:
 def per_day(daily: DataFrame) -> DataFrame:
     """One row per employee and day with hours: ``hours_worked`` is their sum and ``punches`` their number.
 
-    It serves in place of punches wherever these are only added up by day or week.
+    It serves in place of punches wherever these are only added up by day or week. Rows are brought together first,
+    as in :func:`daily_sums`: most days have one row already.
     """
-    return daily.where(F.col("punches") > 0).groupBy(ID, DAY).agg(
+    return daily.where(F.col("punches") > 0).repartition(ID, DAY).groupBy(ID, DAY).agg(
         F.sum("hours_worked").alias("hours_worked"), F.sum("punches").alias("punches")
     )
 

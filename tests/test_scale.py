@@ -80,3 +80,15 @@ def test_known_employees_need_no_look_at_the_new_punches(spark, tmp_path, monkey
     monkeypatch.setattr(refresh, "orphan_keys", lambda *_: 1 / 0)
     refresh.load_timesheets(layers, RULES)
     assert layers.read("curated.timesheet").count() == 2
+
+
+def test_daily_sums_are_added_up_after_the_shuffle(spark):
+    day = date(2024, 1, 1)
+    names = "client_employee_id string, punch_apply_date date, hours_worked decimal(18,4)"
+    flags = "is_late_arrival boolean, is_early_departure boolean, is_overtime boolean"
+    sheet = spark.createDataFrame([("E1", day, None, True, None, False)] * 3, f"{names}, {flags}")
+    sums = daily.daily_sums(sheet)
+    assert [row["late_arrival_flagged"] for row in sums.collect()] == [3]
+    for df in (sums, daily.per_day(sums.localCheckpoint())):
+        below = plan(df).split("Exchange hashpartitioning", 1)[1]
+        assert "HashAggregate" not in below.split("== Initial")[0]
