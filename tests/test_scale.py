@@ -92,3 +92,9 @@ def test_daily_sums_are_added_up_after_the_shuffle(spark):
     for df in (sums, daily.per_day(sums.localCheckpoint())):
         below = plan(df).split("Exchange hashpartitioning", 1)[1]
         assert "HashAggregate" not in below.split("== Initial")[0]
+
+
+def test_raw_rows_are_counted_after_the_shuffle(spark, data_folder):
+    load()
+    text = plan(QUERIES["snk1_append_raw"](spark, data_folder))
+    assert "HashAggregate" not in text.split("Exchange hashpartitioning", 1)[1]
