@@ -20,11 +20,13 @@ from shiftledger.operators.changes import EDITABLE
 from shiftledger.operators.constraints import ROW_RULES, is_broken
 from shiftledger.plans.curate import curate_employees, full_name, is_placeholder, tenure_days
 from shiftledger.rules import Rules
-from shiftledger.schemas import CURATED_EMPLOYEE_FIELDS
+from shiftledger.schemas import CURATED_EMPLOYEE_FIELDS, TABLES
+from shiftledger.session import new_folder
 from shiftledger.sources import Layers
 
 ID = "client_employee_id"
 LOG, PEOPLE, STAGED = "changes.employee", "curated.employee", "staging.employee_staging"
+GIVEN = (ID, "op", "seq", "fields")
 NAMES = ("first_name", "middle_name", "last_name")
 AS_OF = "as_of"  # beside the positions of a commit: the day as of which all days of tenure are, 0 if they differ
 
@@ -32,9 +34,14 @@ AS_OF = "as_of"  # beside the positions of a commit: the day as of which all day
 def store_changes(layers: Layers, changes: DataFrame, rules: Rules) -> DataFrame:
     """Logs and applies a set of changes (see ``apply_changes``); returns the refused ones with ``reason``.
 
-    A set after which an employee would break a rule of the table is refused whole, before it is logged.
+    A set after which an employee would break a rule of the table is refused whole, before it is logged. The set is
+    worked out once, into the shared folder: the check, the log and the refusals each read it more than once, and a condition on
+    a change would build its map of fields anew for every field it looks at.
     """
     apply_stored(layers, rules)
+    folder = new_folder(layers.spark, "changes")
+    changes.select(*[F.col(name).cast(TABLES[LOG][name].dataType).alias(name) for name in GIVEN]).write.parquet(folder)
+    changes = layers.spark.read.parquet(folder)
     held = layers.read(PEOPLE, parts=layers.parts_of(changes, PEOPLE))
     after, _ = apply_changes(held, changes, rules)
     checks = ROW_RULES[PEOPLE]

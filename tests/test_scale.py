@@ -98,3 +98,20 @@ def test_raw_rows_are_counted_after_the_shuffle(spark, data_folder):
     load()
     text = plan(QUERIES["snk1_append_raw"](spark, data_folder))
     assert "HashAggregate" not in text.split("Exchange hashpartitioning", 1)[1]
+
+
+def test_stored_changes_are_worked_out_once(spark, tmp_path):
+    layers, seen = Layers(spark, str(tmp_path / "layers")), spark.sparkContext.accumulator(0)
+
+    def counted(n):
+        seen.add(1)
+        return n
+
+    number = F.udf(counted, "long")
+    layers.replace(spark.createDataFrame([("E1", "Ann", False)], "client_employee_id string, first_name string, is_placeholder boolean"), edits.PEOPLE)
+    changes = spark.createDataFrame([("E1", 1), ("E9", 2)], "client_employee_id string, n long").select(
+        "client_employee_id", F.lit("update").alias("op"), number("n").alias("seq"), F.create_map(F.lit("last_name"), F.lit("Bo")).alias("fields"))
+    refused = edits.store_changes(layers, changes, RULES)
+    assert [(row["client_employee_id"], row["reason"]) for row in refused.collect()] == [("E9", "id not found")]
+    assert [(r["first_name"], r["last_name"]) for r in layers.read(edits.PEOPLE).collect()] == [("Ann", "Bo")]
+    assert seen.value == 2
