@@ -163,8 +163,9 @@ def _base_name(path: str) -> str:
 
 
 def _decoded(uri_part: Column) -> Column:
-    """File metadata is percent-encoded; a plus sign stands for itself there."""
-    return F.url_decode(F.replace(uri_part, F.lit("+"), F.lit("%2B")))
+    """File metadata is percent-encoded; a plus sign stands for itself there. Few names have anything to decode."""
+    decoded = F.url_decode(F.replace(uri_part, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(uri_part, F.lit("%")), decoded).otherwise(uri_part)
 
 
 def _literal(path: str) -> str:
@@ -202,18 +203,25 @@ def _inspect(spark: SparkSession, paths: Sequence[str], rules: Rules) -> list[_F
         )
         .where(F.trim("value") != "")
     )
-    outside = _outside_quotes(F.col("value"), rules)
-    fields = _occurrences(outside, rules.delimiter) + 1
     # A quoted field that its line does not close; quotes inside a value do not count.
-    left_open = outside.rlike(f"(^|{re.escape(rules.delimiter)}){re.escape(rules.quote)}")
+    left_open = F.col("outside").rlike(f"(^|{re.escape(rules.delimiter)}){re.escape(rules.quote)}")
+    # Worked out once per line, before the aggregation, which would do it anew for every use.
+    shapes = lines.withColumn("outside", _outside_quotes(F.col("value"), rules)).select(
+        "uri",
+        "value",
+        "first_block_line",
+        (_occurrences(F.col("outside"), rules.delimiter) + 1).alias("fields"),
+        F.when(F.contains("outside", F.lit(rules.quote)), left_open).otherwise(False).alias("left_open"),
+        (~F.is_valid_utf8("value")).alias("bad_bytes"),
+    )
     # collect_set (of two values at most) makes this a hash aggregation, which
     # the text-valued min_by alone would not be; lines are never sorted.
-    per_file = lines.groupBy("uri").agg(
+    per_file = shapes.groupBy("uri").agg(
         F.min_by("value", "first_block_line").alias("header"),
-        F.max(fields).alias("most_fields"),
-        F.sum(fields.cast("long")).alias("all_fields"),
-        F.array_contains(F.collect_set(left_open), True).alias("multi_line"),
-        F.max(~F.is_valid_utf8("value")).alias("bad_bytes"),
+        F.max("fields").alias("most_fields"),
+        F.sum(F.col("fields").cast("long")).alias("all_fields"),
+        F.array_contains(F.collect_set("left_open"), True).alias("multi_line"),
+        F.max("bad_bytes").alias("bad_bytes"),
     )
     found = [
         _File(

@@ -20,6 +20,13 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_names_without_escapes_are_not_decoded(spark):
+    rows = spark.createDataFrame([("a+b.csv",), ("a%20b+%25.csv",)], "uri string")
+    read = rows.select(delimited._decoded(F.col("uri")).alias("name"))
+    assert [row["name"] for row in read.collect()] == ["a+b.csv", "a b+%.csv"]
+    assert "CASE WHEN" in plan(read)
+
+
 def test_absent_rows_are_shuffled_once(spark):
     at = datetime(2024, 1, 1)
     held = spark.createDataFrame([("a", at, None), ("b", None, None)], "k string, i timestamp, o timestamp")
