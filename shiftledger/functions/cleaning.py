@@ -61,27 +61,43 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _parse_other(text: Column, formats: list[tuple[str, str]]) -> Column:
-    """The text is rewritten step by step; a date that was read starts with ``=``, so no later format takes it."""
-    text = F.upper(F.btrim(text, F.lit(WHITESPACE)))
-    for number, name in enumerate(MONTH_NAMES, start=1):
-        text = F.regexp_replace(text, rf"\b{name}[A-Z]*", f"M{number}")
-    for pattern, replacement in formats:
-        text = F.regexp_replace(text, rf"^{pattern}(?=$|[ T])", f"={replacement}")
-    text = F.regexp_replace(text, r"^(=[\d-]+)T(\d\d)(\d\d)(\d\d)?(?![\d:])", "$1 $2:$3:$4")
-    text = F.regexp_replace(text, r":(?!\d)", "")
+    """The text is rewritten step by step; a date that was read starts with ``=``, so no later format takes it.
+
+    What a step looks at more than once is bound, and the rarer steps run only on the texts that need them: on long tables
+    each pattern counts.
+    """
+    names = "|".join(MONTH_NAMES)
     shape = rf"^=(\d{{4}}-\d{{1,2}}-\d{{1,2}})(?:[ T]+({_CLOCK})\s*([AP]M)?\s*(Z|[+-]\d\d:?\d\d)?)?$"
 
-    def read(word: Column) -> Column:
-        day, clock, half, zone = (F.regexp_extract(word, shape, place) for place in range(1, 5))
-        local = F.concat_ws(" ", F.nullif(day, F.lit("")), F.nullif(clock, F.lit(""))).try_cast("timestamp_ntz")
-        hour = F.regexp_extract(clock, r"^\d+", 0).try_cast("int")
+    def numbered(word: Column) -> Column:
+        turned = word
+        for number, name in enumerate(MONTH_NAMES, start=1):
+            turned = F.regexp_replace(turned, rf"\b{name}[A-Z]*", f"M{number}")
+        return F.when(word.rlike(rf"\b(?:{names})"), turned).otherwise(word)
+
+    def shaped(word: Column) -> Column:
+        for pattern, replacement in formats:
+            word = F.regexp_replace(word, rf"^{pattern}(?=$|[ T])", f"={replacement}")
+        word = F.regexp_replace(word, r"^(=[\d-]+)T(\d\d)(\d\d)(\d\d)?(?![\d:])", "$1 $2:$3:$4")
+        word = F.regexp_replace(word, r":(?!\d)", "")
+        # Day, clock, half and zone of a text of the shape; any other keeps its "=" or never had one.
+        return F.when(word.startswith("="), F.regexp_replace(word, shape, "$1|$2|$3|$4"))
+
+    def read(parts: Column) -> Column:
+        day, clock, half, zone = (F.get(parts, F.lit(place)) for place in range(4))
+        local = F.concat_ws(" ", day, F.nullif(clock, F.lit(""))).try_cast("timestamp_ntz")
+        hour = F.substring_index(clock, ":", 1).try_cast("int")
         later = hour % 12 + F.when(half == "PM", 12).otherwise(0) - hour
-        hours, rest = (F.regexp_extract(zone, r"(\d\d):?(\d\d)$", place).try_cast("int") for place in (1, 2))
+        hours, rest = F.substring(zone, 2, 2).try_cast("int"), F.right(zone, F.lit(2)).try_cast("int")
         ahead = F.coalesce(hours * 60 + rest, F.lit(0)) * F.when(zone.startswith("-"), -1).otherwise(1)
         shift = F.when(half == "", 0).when(hour.between(1, 12), later)
-        return local + F.make_dt_interval(hours=shift, mins=-ahead)
+        moved = local + F.make_dt_interval(hours=shift, mins=-ahead)
+        return F.when((half == "") & zone.isin("", "Z"), local).otherwise(moved)
+
+    def of_shape(word: Column) -> Column:
+        return F.when(~word.startswith("="), _bound(F.split(word, r"\|"), read))
 
-    return _bound(text, read)
+    return _bound(_bound(_bound(F.upper(F.btrim(text, F.lit(WHITESPACE))), numbered), shaped), of_shape)
 
 
 def parse_date(text: Column, formats: Iterable[tuple[str, str]] = ()) -> Column:

@@ -97,17 +97,15 @@ _TIME = "case " + " ".join(f"when l_orderkey % 8 = {n} then {time}" for n, time
 @query("cln2_formats", f"""
     select l_orderkey, l_linenumber, cast(cast(l_shipdate as date) + {_TIME} as date) as day from lineitem""")
 def _(spark, sf):
-    text = F.expr(_TEXT)
-    return table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", parse_date(text, RULES.date_formats).alias("day")
+    return table(spark, sf, "lineitem").withColumn("given", F.expr(_TEXT)).select(
+        "l_orderkey", "l_linenumber", parse_date(F.col("given"), RULES.date_formats).alias("day")
     )
 
 
 @query("cln3_formats", f"select l_orderkey, l_linenumber, cast(l_shipdate as date) + {_TIME} as at_time from lineitem")
 def _(spark, sf):
-    text = F.expr(_TEXT)
-    return table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", parse_timestamp(text, RULES.date_formats).alias("at_time")
+    return table(spark, sf, "lineitem").withColumn("given", F.expr(_TEXT)).select(
+        "l_orderkey", "l_linenumber", parse_timestamp(F.col("given"), RULES.date_formats).alias("at_time")
     )
 
 
