@@ -20,6 +20,12 @@ from shiftledger.sources import Layers
 TABLE, SOURCE = "curated.timesheet_daily", "curated.timesheet"
 
 
+def _together(rows: DataFrame) -> DataFrame:
+    """Rows of an employee and day in one partition. Their number is given, as adaptive execution would join partitions by their
+    bytes, and what is shuffled here is far smaller than the sums of it in memory."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), ID, DAY)
+
+
 def daily_sums(timesheets: DataFrame) -> DataFrame:
     """Per employee and day: punches with hours and their sum, and per flag the assessable and the flagged punches.
 
@@ -30,7 +36,7 @@ def daily_sums(timesheets: DataFrame) -> DataFrame:
         column for name, (flag, *_) in MEASURES.items()
         for column in (F.count(flag).alias(f"{name}_assessable"), F.count_if(F.col(flag)).alias(f"{name}_flagged"))
     ]
-    return timesheets.repartition(ID, DAY).groupBy(ID, DAY).agg(
+    return _together(timesheets).groupBy(ID, DAY).agg(
         F.count("hours_worked").alias("punches"), F.sum("hours_worked").alias("hours_worked"), *flags
     )
 
@@ -51,7 +57,7 @@ def per_day(daily: DataFrame) -> DataFrame:
     It serves in place of punches wherever these are only added up by day or week. Rows are brought together first,
     as in :func:`daily_sums`: most days have one row already.
     """
-    return daily.where(F.col("punches") > 0).repartition(ID, DAY).groupBy(ID, DAY).agg(
+    return _together(daily.where(F.col("punches") > 0)).groupBy(ID, DAY).agg(
         F.sum("hours_worked").alias("hours_worked"), F.sum("punches").alias("punches")
     )
 

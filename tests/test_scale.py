@@ -104,6 +104,7 @@ def test_daily_sums_are_added_up_after_the_shuffle(spark):
     sums = daily.daily_sums(sheet)
     assert [row["late_arrival_flagged"] for row in sums.collect()] == [3]
     for df in (sums, daily.per_day(sums.localCheckpoint())):
+        assert "REPARTITION_BY_NUM" in plan(df)  # adaptive execution joins no such partitions
         below = plan(df).split("Exchange hashpartitioning", 1)[1]
         assert "HashAggregate" not in below.split("== Initial")[0]
 
